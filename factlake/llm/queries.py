@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 
 
@@ -17,7 +18,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op10_simhash": op10_simhash,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
