@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .packing import pack
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 
@@ -23,7 +25,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
+    "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
     "op8_substring_dedup": op8_substring_dedup,
 }
