@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .packing import pack
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
@@ -30,7 +31,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary)
+    return bpe.decode(ids, vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("n_chars"),
+    )
+
+
 QUERIES = {
+    "op5_bpe": op5_bpe,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
     "op8_substring_dedup": op8_substring_dedup,
