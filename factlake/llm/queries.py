@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from .packing import pack
+from .sharding import shard
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 
@@ -43,7 +44,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
+    "op9_sharding": op9_sharding,
     "op5_bpe": op5_bpe,
     "op7_packing": op7_packing,
     "op10_simhash": op10_simhash,
