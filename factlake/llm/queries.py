@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, line_dedup, quality_rules
 from .packing import pack
 from .sharding import shard
 from .simhash import near_duplicates
@@ -49,7 +49,28 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round(F.col("p_quality") * 1000000).cast("long").alias("quality_ppm")
+    )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    lines = F.aggregate("removed", F.lit(0).cast("long"), lambda s, c: s + c["n"])
+    return out.select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        lines.alias("n_removed_lines"),
+        F.size("removed").cast("long").alias("n_removed_chunks"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_line_dedup": op2_line_dedup,
     "op9_sharding": op9_sharding,
     "op5_bpe": op5_bpe,
     "op7_packing": op7_packing,
@@ -57,4 +78,14 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_quality_rules": quality_rules.sql(),
+    "op2_line_dedup": line_dedup.SQL,
+    "op8_substring_dedup": """WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM w)),
+  again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM k) WHERE r > 1),
+  gone AS (SELECT DISTINCT doc_id, i + j AS p FROM again, generate_series(0, 19) AS s(j)),
+  each AS (SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM w)),
+  kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256 FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+}
