@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality_rules
+from . import bpe, line_dedup, quality_rules, warc
 from .packing import pack
 from .sharding import shard
+from .shared import new_path
 from .simhash import near_duplicates
 from .substring_dedup import substring_dedup
 
@@ -68,7 +69,14 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op3_warc": op3_warc,
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
     "op9_sharding": op9_sharding,
@@ -79,6 +87,10 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op3_warc": """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+  s AS (SELECT page_id, octet_length(b)::BIGINT AS n, sha1(b) AS d, max(page_id) OVER (PARTITION BY b) AS r FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> r THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> r THEN r END AS refers_to FROM s""",
     "op1_quality_rules": quality_rules.sql(),
     "op2_line_dedup": line_dedup.SQL,
     "op8_substring_dedup": """WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
