@@ -25,11 +25,11 @@ REPEAT_WINDOW = 5
 ROUNDS, PRIOR, RIGHT, WRONG = 20, 0.8, 8.0, 2.0
 #: Where accuracies start, on good and on bad texts, and the bounds that they keep. A rule is better than chance on good texts,
 #: which fixes which class is the good one; a bad text has few faults, so most rules miss it.
-GOOD, BAD, MOST = (0.9, 0.6), (0.4, 0.02), 0.999
+GOOD, BAD, MOST = (0.97, 0.9), (0.4, 0.02), 0.999
 #: Each rule: its name, when it votes bad, when it votes good (of what is left); SQL that Spark and others read alike.
 RULES = [
     ("length", "n_words < 10", "n_words >= 50"),
-    ("marks", "100 * n_marks > 15 * word_chars", "100 * n_marks <= 8 * word_chars and n_words > 0"),
+    ("marks", "100 * n_marks > 9 * word_chars", "100 * n_marks <= 7 * word_chars and n_words > 0"),
     ("symbols", "10 * n_symbols > n_words", "n_symbols = 0 and n_words > 0"),
     ("duplicate_lines", "10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0 and n_lines > 1"),
     ("repetition", "10 * n_repeat_words > n_words", "n_repeat_words = 0 and n_words > 0"),
