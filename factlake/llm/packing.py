@@ -8,8 +8,8 @@ Packing is a streaming pass: each task packs its own rests, ``block`` at a time,
 more than a block, and a lost task is simply run again. Within a block only the last windows stay ill filled; such a
 window is cut at powers of two, at which sequences need no padding.
 
-Words are looked up, not encoded again: the tokenizer drops white space and never joins over it, so a batch's distinct words
-(by Arrow's dictionary encoding) are encoded by the library once, and ids are gathered from them.
+Words are looked up, not encoded again: the tokenizer drops white space and never joins over it, so distinct words are
+encoded by the library once, kept up to a bound, and ids are gathered from them with numpy.
 
 Defined results: a null or empty text is a document of the end id alone; a null doc_id and repeated rows are documents like any
 other; an empty table has no sequences.
@@ -17,9 +17,10 @@ other; an empty table has no sequences.
 
 from __future__ import annotations
 
+import json
+from array import array
 from collections.abc import Iterator
 from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -31,9 +32,19 @@ from . import words as W
 
 WINDOW, END, BLOCK = 4096, 2, 1 << 16
 #: Words kept with their ids in each Python process.
-CACHED = 300_000
-_BREAKS = np.zeros(256, bool)
-_BREAKS[[0x20, 0x0A, 0x09, 0x0D]] = True
+CACHED = 800_000
+#: New words encoded as one text.
+JOINED = 512
+#: Kinds of bytes: white space (0), letters (1; lead bytes of U+00C0 to U+017F and all that follow a lead byte too), digits (2),
+#: marks (3). Odd are those of other characters, and the apostrophe.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = 1
+_KIND[0x30:0x3A] = 2
+_ODD = np.zeros(256, bool)
+_ODD[[*range(0x00, 0x09), *range(0x0E, 0x20), 0x27, 0x7F, 0xC0, 0xC1, 0xC2, *range(0xC6, 0x100)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 class OpenWindows:
@@ -92,46 +103,100 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(data)
-        self.known: dict[bytes, list[int]] = {}
-
-    def of_words(self, words: list[bytes]) -> list[list[int]]:
-        known = self.known
-        if len(known) + len(words) > CACHED and len(known) > CACHED // 2:
-            known.clear()
-        new = [w for w in words if w not in known]
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            known.update(zip(new, [e.ids for e in found], strict=True))
-        return [known[w] for w in words]
+        model = json.loads(data)["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.last = np.zeros(max(model["vocab"].values()) + 1, bool)  # tokens that end a word of the model
+        if suffix:
+            self.last[[i for name, i in model["vocab"].items() if name.endswith(suffix)]] = True
+        self.joins = bool(suffix)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {b"": 0}
+        self.begin, self.size, self.flat = array("q", [0]), array("q", [0]), array("i")
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Runs of Latin letters are one word of the model each: many are encoded as one text, which costs half as much, and
+        cut where a token ends a word. All other parts are encoded one by one."""
+        texts = [x.decode("utf-8", "replace") for x in parts]
+        letters = [self.joins and x.isalpha() and max(x) < "\u0180" for x in texts]
+        whole = [x for x, yes in zip(texts, letters, strict=True) if yes]
+        lines = [whole[i : i + JOINED] for i in range(0, len(whole), JOINED)]
+        found: list[list[int]] = []
+        for own, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False), strict=True):
+            ids = e.ids
+            ends = (np.flatnonzero(self.last[np.array(ids, np.int64)]) + 1).tolist()
+            if len(ends) == len(own):
+                found += [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            else:
+                found += [x.ids for x in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+        keys = [x for x, yes in zip(parts, letters, strict=True) if yes] + [x for x, yes in zip(parts, letters, strict=True) if not yes]
+        rest = [x for x, yes in zip(texts, letters, strict=True) if not yes]
+        found += [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        sizes = list(map(len, found))
+        self.known.update(zip(keys, range(len(self.begin), len(self.begin) + len(keys)), strict=True))
+        self.begin.extend((len(self.flat) + np.cumsum(sizes) - sizes).tolist())
+        self.size.extend(sizes)
+        self.flat.extend(chain.from_iterable(found))
+
+    @staticmethod
+    def _parts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Edges of the parts, which of them lie between two edges with something other than white space, and the bytes.
+
+        The model never joins over white space, nor letters with digits or marks, so words of Latin letters, digits and ASCII
+        marks are cut there and put in lower case, which leaves fewer different parts. Words with anything else, an apostrophe
+        or the start of a special token stay whole and as they are."""
+        kind = _KIND[buf]
+        edge = np.zeros(len(buf) + 1, bool)
+        edge[1:-1] = kind[1:] != kind[:-1]
+        edge[offsets] = True
+        low = _LOWER[buf]
+        odd = _ODD[buf]
+        odd[:-1] |= ((buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))) | ((buf[:-1] == 0xC4) & (buf[1:] == 0xB0)) | ((buf[:-1] == 0x3C) & (buf[1:] == 0x7C))
+        if odd.any():
+            outer = np.zeros(len(buf) + 1, bool)
+            outer[1:-1] = (kind[1:] == 0) != (kind[:-1] == 0)
+            outer[offsets] = True
+            cuts = np.flatnonzero(outer)
+            for k in np.unique(np.searchsorted(cuts, np.flatnonzero(odd), side="right") - 1).tolist():
+                a, b = cuts[k], cuts[k + 1]
+                edge[a + 1 : b] = False
+                low[a:b] = buf[a:b]
+        cuts = np.flatnonzero(edge)
+        return cuts, kind[cuts[:-1]] != 0, low
 
     def of_texts(self, buf: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end``, and where each text's ids start (n + 1 offsets)."""
         n = len(offsets) - 1
-        word = ~_BREAKS[buf]
-        edge = np.zeros(len(buf) + 1, bool)
-        edge[1:-1] = word[1:] != word[:-1]
-        edge[offsets] = True
-        cuts = np.flatnonzero(edge)
+        if len(self.known) > CACHED:
+            self.clear()
+        number, starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if len(buf):
-            parts = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(buf)])
+            cuts, solid, low = self._parts(buf, offsets)
+            parts = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(low)])
             coded = parts.dictionary_encode()
-            code = coded.indices.to_numpy(zero_copy_only=False)
             spelled = coded.dictionary.to_pylist()
-            ids = self.of_words([x if not _BREAKS[x[0]] else b"" for x in spelled])
-        else:
-            cuts, code, ids = np.zeros(1, np.int64), np.zeros(0, np.int64), []
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
-        begin = np.cumsum(size) - size
-        each = size[code]
-        text = np.searchsorted(offsets, cuts[:-1], side="right") - 1
-        total = np.bincount(text, weights=each, minlength=n).astype(np.int64) + 1
-        starts = np.concatenate([[0], np.cumsum(total)])
-        out = np.full(starts[-1], end, np.int32)
-        place = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)  # within the word
-        to = np.repeat(np.cumsum(each) - each + text, each) + place  # one end id for each text before
-        out[to] = flat[np.repeat(begin[code], each) + place]
-        return out, starts
+            blank = np.zeros(len(spelled), bool)
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            blank[code[~solid]] = True  # white space is a part of its own
+            new = [x for x, b in zip(spelled, blank.tolist(), strict=True) if not b and x not in self.known]
+            if new:
+                self._learn(new)
+            of = np.fromiter((0 if b else self.known[x] for x, b in zip(spelled, blank.tolist(), strict=True)), np.int64, len(spelled))
+            number, starts = of[code[solid]], cuts[:-1][solid]
+        begin, size, flat = np.frombuffer(self.begin, np.int64), np.frombuffer(self.size, np.int64), np.frombuffer(self.flat, np.int32)
+        each = size[number]
+        text = np.searchsorted(starts, offsets)  # parts before each text
+        upto = np.concatenate([[0], np.cumsum(each)])
+        total = np.diff(upto[text]) + 1
+        out = np.full(int(upto[-1]) + n, end, np.int32)
+        if len(number):
+            before = np.repeat(np.arange(n), np.diff(text))  # one end id for each text before
+            to = np.arange(int(upto[-1]))
+            out[to + np.repeat(before, each)] = flat[np.repeat(begin[number] - upto[:-1], each) + to]
+        result = out, np.concatenate([[0], np.cumsum(total)])
+        del begin, size, flat  # arrays can't grow while they are looked at
+        return result
 
 
 def _sequences(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -185,7 +250,7 @@ def _packed(tokenizer, window: int, end: int, block: int):
         for batch in batches:
             buf, offsets = W.flat(batch.column("text"))
             docs = batch.column("doc_id").to_pylist()
-            for a, b in W.slices(offsets):
+            for a, b in W.slices(offsets, 2 * W.SLICE_BYTES):
                 ids, starts = encoder.of_texts(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end)
                 rows = []
                 for k in range(b - a):
