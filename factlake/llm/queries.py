@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality_rules, warc
+from . import bpe, line_dedup, quality_classifier, quality_rules, warc
 from .packing import pack
 from .sharding import shard
 from .shared import new_path
@@ -75,7 +75,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_quality_classifier": op4_quality_classifier,
     "op3_warc": op3_warc,
     "op1_quality_rules": op1_quality_rules,
     "op2_line_dedup": op2_line_dedup,
