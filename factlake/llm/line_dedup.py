@@ -47,8 +47,10 @@ def _chunks(text: Column, divisor: int) -> Column:
 
 
 def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """One row for each row of ``df`` (doc_id, text): doc_id, n_lines, removed (array of (start, n) lines, in order), kept_text."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """One row for each row of ``df`` (doc_id, text): doc_id, n_lines, removed (array of (start, n) lines, in order), kept_text
+    and rest (a struct of the other columns)."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
     chunks = docs.filter("doc_id is not null and text is not null").select("doc_id", F.inline(_chunks(F.col("text"), divisor)))
     often = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     candidates = chunks.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("candidates"))
@@ -59,12 +61,12 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     stay = firsts.groupBy("doc_id").agg(F.collect_list("start").alias("stay"))
     removed = F.filter(F.coalesce("candidates", F.array().cast("array<struct<start:int,n:int>>")), lambda c: ~F.array_contains("stay", c["start"]))
     none_stay = F.coalesce("stay", F.array().cast("array<int>"))
-    out = with_candidates.join(stay, "doc_id", "left").withColumn("stay", none_stay).select("doc_id", "text", F.split("text", "\n").alias("lines"), removed.alias("removed"))
+    out = with_candidates.join(stay, "doc_id", "left").withColumn("stay", none_stay).select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), removed.alias("removed"))
     end = lambda k: F.when(k == 0, 0).otherwise(F.get("removed", k - 1)["start"] + F.get("removed", k - 1)["n"])
     upto = lambda k: F.coalesce(F.get("removed", k)["start"], F.size("lines"))
     segments = F.transform(F.sequence(F.lit(0), F.size("removed")), lambda k: F.slice("lines", end(k) + 1, upto(k) - end(k)))
     kept = F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(F.flatten(segments), "\n"))
-    return out.select("doc_id", F.coalesce(F.array_size("lines"), F.lit(0)).alias("n_lines"), "removed", kept.alias("kept_text"))
+    return out.select("doc_id", F.coalesce(F.array_size("lines"), F.lit(0)).alias("n_lines"), "removed", kept.alias("kept_text"), "rest")
 
 
 SQL = f"""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),

@@ -32,6 +32,7 @@ FEATURES = BUCKETS + SHAPES + BANDS
 ROUNDS, STEPS, RATE, DECAY = 25, 200, 0.1, 1e-5
 #: Starting share of good texts, and the accuracies on good and on bad texts with their lower bounds, as rules rarely accuse
 #: good texts, but each misses most bad ones.
+THRESHOLD = 0.3
 PRIOR, GOOD, BAD, MOST = 0.8, (0.97, 0.9), (0.4, 0.02), 0.999
 _KINDS = np.zeros(256, np.uint8)  # a word's shape is the union of its bytes' kinds
 _KINDS[97:123] = 1
@@ -188,26 +189,42 @@ def trained(rows: np.ndarray, features: np.ndarray, values: np.ndarray, target:
     return w, float(bias)
 
 
+def _scores(c: dict[str, np.ndarray], model) -> tuple[np.ndarray, np.ndarray]:
+    """Of a slice of texts: the posterior of their votes, and the model's probability that they are good."""
+    w, bias, em = model
+    text, feature, value = _weights(c)
+    z = bias + np.bincount(text, weights=value * w[feature], minlength=len(c["words"]))
+    return posteriors(_codes(_votes(c)), *em), 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, bias, model = shared.value
         for ids, c in _over(batches):
-            text, feature, value = _weights(c)
-            z = bias + np.bincount(text, weights=value * w[feature], minlength=len(ids))
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            weak = posteriors(_codes(_votes(c)), *model)
+            weak, p = _scores(c, shared.value)
             yield pa.RecordBatch.from_arrays([ids, pa.array(c["words"].astype(np.int64)), pa.array(weak), pa.array(p)], names=["doc_id", "n_words", "p_weak", "p_quality"])
 
     return run
 
 
-def classify(df: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
-    """One row for each row of ``df`` (doc_id, text): doc_id, n_words, p_weak (posterior of the votes), p_quality (the model's
-    probability of a good text) and kept (p_quality at least ``threshold``: only texts held bad with some certainty go)."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _kept(shared, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = [_scores(c, shared.value)[1] for _, c in _over([batch])]
+            yield batch.filter(pa.array(np.concatenate(p) >= threshold if p else np.zeros(0, bool)))
+
+    return run
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def fitted(df: DataFrame, sample: int = SAMPLE):
+    """The model for ``df`` (doc_id, text), sent to the executors: a fixed number of weights."""
+    docs = _texts(df)
     found = docs.mapInArrow(_vote, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").collect()  # 3 ** 9 rows at most
     codes, counts = np.array([r.code for r in found], np.int64), np.array([r.n for r in found], np.float64)
-    model = accuracies(codes, counts)
+    em = accuracies(codes, counts)
     one_in = max(1, int(counts.sum()) // sample)
     chosen = docs.filter("doc_id is not null").filter(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0)
     rows = sorted(chosen.mapInArrow(_featurise, "doc_id long, code long, features array<int>, values array<float>").collect(), key=lambda r: (r.doc_id, r.code))
@@ -215,7 +232,17 @@ def classify(df: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> Dat
     at = np.repeat(np.arange(len(rows)), sizes)
     features = np.fromiter((x for r in rows for x in r.features), np.int64, sum(sizes))
     values = np.fromiter((x for r in rows for x in r["values"]), np.float64, sum(sizes))
-    target = posteriors(np.array([r.code for r in rows], np.int64), *model)
-    shared = df.sparkSession.sparkContext.broadcast((*trained(at, features, values, target), model))  # FEATURES numbers
-    scored = docs.mapInArrow(_scored(shared), "doc_id long, n_words long, p_weak double, p_quality double")
+    target = posteriors(np.array([r.code for r in rows], np.int64), *em)
+    return df.sparkSession.sparkContext.broadcast((*trained(at, features, values, target), em))
+
+
+def classify(df: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """One row for each row of ``df`` (doc_id, text): doc_id, n_words, p_weak (posterior of the votes), p_quality (the model's
+    probability of a good text) and kept (p_quality at least ``threshold``: only texts held bad with some certainty go)."""
+    scored = _texts(df).mapInArrow(_scored(fitted(df, sample)), "doc_id long, n_words long, p_weak double, p_quality double")
     return scored.withColumn("kept", F.col("p_quality") >= threshold)
+
+
+def keep_good(df: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``df``, with all their columns, that classify() keeps."""
+    return df.mapInArrow(_kept(fitted(df, sample), threshold), df.schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, quality_classifier, quality_rules, warc
+from . import ann, bpe, line_dedup, quality_classifier, quality_rules, warc
 from .packing import pack
 from .sharding import shard
 from .shared import new_path
@@ -19,7 +19,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = substring_dedup(_table(spark, sf_dir, "documents"))
+    out = substring_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -36,12 +36,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     ids = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary)
+    ids = ids.select("doc_id", "ids", F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("n_chars"))
     return bpe.decode(ids, vocabulary).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.array_max("ends"), F.lit(0)).cast("long").alias("n_chars"),
+        "n_chars",
     )
 
 
@@ -58,7 +59,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+    out = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     lines = F.aggregate("removed", F.lit(0).cast("long"), lambda s, c: s + c["n"])
     return out.select(
         "doc_id",
@@ -79,7 +80,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(_table(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 QUERIES = {
+    "op6_ann": op6_ann,
     "op4_quality_classifier": op4_quality_classifier,
     "op3_warc": op3_warc,
     "op1_quality_rules": op1_quality_rules,

@@ -39,7 +39,7 @@ class _Slice:
     """The windows of a slice of texts: ``first`` word of each, its ``anchor``, and where runs of windows with one anchor begin."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, window: int, seed: int):
-        self.buf = buf
+        self.buf, self.offsets = buf, offsets
         self.starts, self.ends, self.text = W.split(buf, offsets)
         self.h = h = W.hashes(buf, self.starts, self.ends)
         n = max(0, len(h) - window + 1)
@@ -157,7 +157,7 @@ def _windows(window: int, seed: int):
     return run
 
 
-def _cleaned(window: int, seed: int):
+def _cleaned(window: int, seed: int, layout: bool):
     """Removes the words under repeated windows: (row, n_words, n_removed, text left, spans removed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,27 +174,35 @@ def _cleaned(window: int, seed: int):
             rows = b - a
             total = np.bincount(s.text, minlength=rows)
             lost = np.bincount(s.text[gone], minlength=rows)
-            kept, spans = [], []
+            kept, spans, data = [], [], s.buf.tobytes()
             for i in range(rows):
                 w0, w1 = s.word0[i], s.word0[i] + total[i]
-                stay = np.flatnonzero(~gone[w0:w1]) + w0
-                data = s.buf
-                kept.append(b" ".join([data[x:y].tobytes() for x, y in zip(s.starts[stay].tolist(), s.ends[stay].tolist(), strict=True)]))
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[w0:w1].astype(np.int8), [0]])))
                 spans.append(edge.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(a, b - a), pa.array(total), pa.array(lost), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(spans, pa.list_(pa.int32()))],
-                names=["doc_id", "n_words", "n_removed", "kept_text", "spans"],
-            )
+                x, y = s.starts[w0:w1], s.ends[w0:w1]
+                if layout:  # cut the spans out, each with the white space after it
+                    at, parts = int(s.offsets[i]), []
+                    for first, after in edge.reshape(-1, 2).tolist():
+                        parts.append(data[at : x[first]])
+                        at = x[after] if after < len(x) else y[after - 1]
+                    kept.append(b"".join([*parts, data[at : s.offsets[i + 1]]]))
+                else:
+                    stay = np.flatnonzero(~gone[w0:w1])
+                    kept.append(b" ".join([data[p:q] for p, q in zip(x[stay].tolist(), y[stay].tolist(), strict=True)]))
+            columns = [batch.column(c).slice(a, rows) for c in ("doc_id", "rest")]
+            columns += [pa.array(total), pa.array(lost), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(spans, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "rest", "n_words", "n_removed", "kept_text", "spans"])
 
     return run
 
 
-def substring_dedup(df: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """One row for each row of ``df`` (doc_id long, text string; others are ignored): doc_id, n_words, n_removed, kept_text
-    (the words left, joined by one space) and spans (first word removed, first word after it, and so on, from 0)."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    anchors = docs.mapInArrow(_anchors(window, seed), "h long, doc_id long, often boolean")
+def substring_dedup(df: DataFrame, window: int = WINDOW, seed: int = SEED, layout: bool = False) -> DataFrame:
+    """One row for each row of ``df`` (doc_id long, text string): doc_id, n_words, n_removed, kept_text (the words left, joined by
+    one space, or with ``layout`` the text with the spans cut out), spans (first word removed, first word after it, and so on,
+    from 0) and rest (a struct of the other columns)."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")] or [F.lit(None).cast("int").alias("none")]
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
+    anchors = docs.select("doc_id", "text").mapInArrow(_anchors(window, seed), "h long, doc_id long, often boolean")
     seeds = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.max("often").alias("often")).filter("n > 1 or often").select("h")
     seeds_of = anchors.select("h", "doc_id").join(seeds, "h").groupBy("doc_id").agg(F.collect_set("h").alias("seeds"))
     # the three joins below deal the texts out by doc_id in the same way, so Spark does it once and reads it three times
@@ -207,5 +215,5 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, seed: int = SEED) -> Da
     return (
         docs.join(seeds_of, "doc_id", "left")
         .join(stays_of, "doc_id", "left")
-        .mapInArrow(_cleaned(window, seed), "doc_id long, n_words long, n_removed long, kept_text string, spans array<int>")
+        .mapInArrow(_cleaned(window, seed, layout), f"doc_id long, rest {docs.schema['rest'].dataType.simpleString()}, n_words long, n_removed long, kept_text string, spans array<int>")
     )
