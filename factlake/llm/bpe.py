@@ -17,6 +17,7 @@ like any other; bytes that form no character become U+FFFD in decoded text only.
 
 from __future__ import annotations
 
+import json
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -31,7 +32,9 @@ from . import vocabulary as V
 from . import words as W
 
 #: Matches kept with their ids in each Python process.
-CACHED = 400_000
+CACHED = 250_000
+#: Rows decoded at once.
+ROWS = 500
 
 
 def _set(chars: set[str]) -> str:
@@ -69,12 +72,10 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.plain, self.exact = regex.compile(pattern), exact
         self.lead = chr(first).encode()[0] if first < 0x110000 else 256
-        back = {c: b for b, c in enumerate(V.bytes_to_chars())}
         names = self.tokenizer.get_vocab(with_added_tokens=False)
         self.width = np.zeros(max(names.values()) + 1, np.int64)
         for name, i in names.items():
             self.width[i] = len(name)  # a character for each byte
-        self.table = {i: bytes(back[c] for c in name) for name, i in names.items()}
         self.clear()
 
     def clear(self) -> None:
@@ -145,16 +146,26 @@ def _encode(shared, offsets_too: bool):
     return run
 
 
+def _table(tokenizer: str) -> list[bytes]:
+    """The bytes of each id: its characters, mapped back."""
+    back = {c: b for b, c in enumerate(V.bytes_to_chars())}
+    vocab = json.loads(tokenizer)["model"]["vocab"]
+    table = [b""] * (max(vocab.values()) + 1)
+    for name, i in vocab.items():
+        table[i] = bytes(back[c] for c in name)
+    return table
+
+
 def _decode(shared, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = shared.value
-        encoder = V.once(f"bpe {hash(made)}", lambda: _Encoder(*made))
-        table = V.once(f"bytes {hash(made)}", lambda: [encoder.table.get(i) for i in range(len(encoder.width))])
+        of = V.once(f"bytes {hash(made)}", lambda: _table(made[0])).__getitem__
         for batch in batches:
-            ids = [np.frombuffer(x or b"", "<u4").tolist() for x in batch.column("ids").to_pylist()]
-            whole = [b"".join([table[i] for i in x]) for x in ids]
-            out = pa.array([x.decode("utf-8", "replace") for x in whole]) if as_text else pa.array(whole, pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, "decoded"])
+            for a in range(0, batch.num_rows, ROWS):
+                part = batch.slice(a, ROWS)
+                whole = [b"".join(map(of, np.frombuffer(x or b"", "<u4").tolist())) for x in part.column("ids").to_pylist()]
+                out = pa.array([x.decode("utf-8", "replace") for x in whole]) if as_text else pa.array(whole, pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, "decoded"])
 
     return run
 
