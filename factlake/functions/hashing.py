@@ -101,10 +101,11 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def id_bucket(cve: Column) -> Column:
-    """Folder of a CVE id: CVE-2024-12345 is under 2024/12xxx."""
+def cve_path(cve: Column) -> Column:
+    """Path of a CVE id's document: CVE-2024-12345 is cves/2024/12xxx/CVE-2024-12345.json."""
     number = F.regexp_extract(cve, "^CVE-([0-9]{4})-([0-9]+)$", 2)
-    return F.concat(F.substring(cve, 5, 4), F.lit("/"), F.regexp_replace(number, "[0-9]{3}$", "xxx"))
+    bucket = F.when(F.length(number) > 3, F.concat(F.regexp_replace(number, "[0-9]{3}$", ""), F.lit("xxx"))).otherwise("0xxx")
+    return F.concat(F.lit("cves/"), F.substring(cve, 5, 4), F.lit("/"), bucket, F.lit("/"), cve, F.lit(".json"))
 
 
 def id_of_path(path: Column) -> Column:
@@ -124,8 +125,8 @@ def tags(value: Column) -> Column:
 
 
 def aliases_in(text: Column) -> Column:
-    """CVE ids in a text, in upper case, sorted, each once."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit(f"({CVE})"), F.lit(1))))
+    """CVE ids in a text, sorted, each once."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({CVE})"), F.lit(1))))
 
 
 def quoted_path(path: Column) -> Column:
