@@ -61,7 +61,7 @@ def append_events(prior: DataFrame, new: DataFrame, key: str = "event_id") -> Da
     both = prior.withColumn("_n", F.lit(0)).unionByName(new.withColumn("_n", F.lit(1)))
     rest = [c for c in prior.columns if c != key]
     out = both.groupBy(key).agg(F.min_by(F.struct(*rest), "_n").alias("r"))
-    return out.select(key, *[F.col(f"r.`{c}`").alias(c) for c in rest])
+    return out.select(key, *[F.col(f"r.`{c}`").alias(c) for c in rest]).select(*prior.columns)
 
 
 def same_snapshot(a: DataFrame, b: DataFrame) -> bool:

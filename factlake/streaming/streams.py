@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -116,3 +116,28 @@ def sessions(stream: DataFrame, key: str, at: str, gap: str, late: str) -> DataF
     """Windows of a key's samples without a gap, with their length in seconds."""
     out = stream.withWatermark(at, late).groupBy(F.session_window(at, gap), key).agg(F.count(F.lit(1)).alias("n_samples"))
     return out.select(key, (F.col("session_window.end").cast("double") - F.col("session_window.start").cast("double")).alias("seconds"), "n_samples")
+
+
+def incremental_window(now: Column, watermark: Column, retention: str, overlap: str) -> tuple[Column, Column]:
+    """What a run reads again: from the watermark less an overlap, or from the start of what is retained, up to now. Reading the
+    overlap twice is harmless, as batches converge by identity."""
+    start = now - F.expr(f"interval {retention}")
+    return F.greatest(start, F.coalesce(watermark - F.expr(f"interval {overlap}"), start)), now
+
+
+def bootstrap_windows(now: Column, first: str, whole: str) -> list[tuple[Column, Column]]:
+    """The two runs of a bootstrap, newest first: the second ends where the first began."""
+    middle = now - F.expr(f"interval {first}")
+    return [(middle, now), (now - F.expr(f"interval {whole}"), middle)]
+
+
+def advanced_watermark(units: DataFrame, old: Column, at: str = "at", done: str = "done") -> DataFrame:
+    """One row: the watermark after a set of units; it moves only if all of them are done."""
+    complete = F.coalesce(F.bool_and(done), F.lit(False))
+    return units.agg(F.when(complete, F.greatest(old, F.max(at))).otherwise(old).alias("watermark"), complete.alias("complete"))
+
+
+def unread_pages(pages: DataFrame, seen: DataFrame) -> DataFrame:
+    """Pages (page, content) that are new or whose content has changed since they were read (page, content_sha256)."""
+    hashed = pages.withColumn("content_sha256", F.sha2("content", 256))
+    return hashed.join(seen.select("page", "content_sha256"), ["page", "content_sha256"], "left_anti")
