@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by collision counting.
 
-Vectors are projected on ``PROJECTIONS`` random directions, and each projection is kept as a sorted array. A query's window in
+Vectors are projected on ``PROJECTIONS`` random directions, and each projection is kept as a sorted array of pages. A query's window in
 each array is centred on its own projection; a vector collides where it lies in the window. Windows widen by virtual
-rehashing (the same arrays, a wider window, counting only what is new) until enough vectors have collided in more than a
+rehashing (the same arrays, a wider window) until enough vectors have collided in more than a
 threshold of the arrays; those are verified by their exact inner product.
 
 The largest inner product becomes the least distance by one more coordinate, which lifts all vectors to the norm of the largest
@@ -32,7 +32,9 @@ FIRST, GROWTH = 0.7, 1.12
 #: A vector is verified if it collides in more than this share of the arrays; a round suffices if it gives a block so many
 #: vectors, or this share of the block if that is more. Without clusters the 20 nearest of some thousand vectors are hardly
 #: nearer than the rest, so a good recall needs shares like these; with clusters the first round gives more than enough.
-COLLISIONS, ENOUGH, SHARE = 0.46, 2048, 0.3
+COLLISIONS, ENOUGH, SHARE = 0.46, 1536, 0.25
+#: Pages of a sorted array: windows reach over whole pages, so that a collision is a comparison of two bytes.
+PAGES = 256
 BLOCK, QUERY_BLOCK = 8192, 2048
 
 
@@ -49,9 +51,12 @@ class Arrays:
         self.directions = np.random.default_rng(SEED).standard_normal((projections, d + 1))
         lift = np.sqrt(np.maximum(largest**2 - (vectors**2).sum(1), 0))
         spots = np.column_stack([vectors, lift]) @ self.directions.T
-        self.order = np.ascontiguousarray(np.argsort(spots, axis=0, kind="stable").T.astype(np.int32))
-        self.sorted = np.ascontiguousarray(np.take_along_axis(spots.T, self.order, axis=1))
+        order = np.argsort(spots, axis=0, kind="stable")
+        self.sorted = np.ascontiguousarray(np.take_along_axis(spots, order, axis=0).T)
         self.n, self.largest = len(vectors), largest
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(self.n)[:, None], axis=0)
+        self.page = np.ascontiguousarray((rank * PAGES // self.n).T.astype(np.uint8))  # of each vector, in each array
 
     def candidates(self, queries: np.ndarray, threshold: int, enough: int):
         """For each query the vectors that collide often enough, in the first round in which there are enough."""
@@ -60,30 +65,25 @@ class Arrays:
         rounds: list[tuple[np.ndarray, np.ndarray]] = []
 
         def windows(r: int) -> tuple[np.ndarray, np.ndarray]:
-            """Where all queries' windows begin and end in all arrays, in round r."""
+            """The first page of all queries' windows in all arrays, and how many more they reach over, in round r."""
             while len(rounds) <= r:
                 half = FIRST * GROWTH ** len(rounds) * self.largest
-                both = [[np.searchsorted(s, x + d, side=side) for s, x in zip(self.sorted, spots, strict=True)] for d, side in ((-half, "left"), (half, "right"))]
-                rounds.append((np.array(both[0]).T, np.array(both[1]).T))
+                ends = [np.array([np.searchsorted(s, x + d, side=side) for s, x in zip(self.sorted, spots, strict=True)]).T for d, side in ((-half, "left"), (half, "right"))]
+                first = np.minimum(ends[0] * PAGES // self.n, PAGES - 1)
+                last = np.maximum(ends[1] - 1, ends[0]) * PAGES // self.n
+                rounds.append((first.astype(np.uint8), (np.minimum(last, PAGES - 1) - first).astype(np.uint8)))
             return rounds[r]
 
         for i in range(len(queries)):
-            count, r, low, high = np.zeros(self.n, np.int16), 0, None, None
+            r = 0
             while True:
-                a, b = (x[i].tolist() for x in windows(r))
-                for j, order in enumerate(self.order):
-                    if low is None:
-                        count[order[a[j] : b[j]]] += 1
-                    else:
-                        if a[j] < low[j]:
-                            count[order[a[j] : low[j]]] += 1
-                        if b[j] > high[j]:
-                            count[order[high[j] : b[j]]] += 1
-                found = np.flatnonzero(count > threshold)
-                if len(found) >= enough or min(b) - max(a) == self.n:
+                first, reach = (x[i][:, None] for x in windows(r))
+                # unsigned: pages before the window wrap around to large numbers
+                found = np.flatnonzero(np.add.reduce((self.page - first) <= reach, axis=0, dtype=np.uint8 if len(self.page) < 256 else np.uint16) > threshold)
+                if len(found) >= enough or (reach == PAGES - 1).all():
                     yield found
                     break
-                low, high, r = a, b, r + 1
+                r += 1
 
 
 def _search(k: int, projections: int):
