@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from factlake.plans.queries import QUERIES, SQL
@@ -11,7 +12,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def plain(value):
-    if value is None or value != value:
+    if value is None or value is pd.NA or value is pd.NaT or isinstance(value, float) and value != value:
         return "null"
     if isinstance(value, float):
         return f"{value:.9g}"
