@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .expressions import WORD, let
+from .shared import written
 
 DIVISOR, FACTOR = 3, 1000003
 
@@ -53,6 +54,7 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
     chunks = docs.filter("doc_id is not null and text is not null").select("doc_id", F.inline(_chunks(F.col("text"), divisor)))
     often = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    often = written(often, "repeated-chunks")  # a table of its own, so that Spark can split a frequent chunk's rows in the join
     candidates = chunks.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("candidates"))
     with_candidates = docs.join(candidates, "doc_id", "left")
     cut_out = let(F.split("text", "\n"), lambda lines: F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), F.array_join(F.slice(lines, c["start"] + 1, c["n"]), "\n").alias("chunk"))))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .shared import written
 
 WINDOW, SEED = 20, 8
 _GRAM, _W1, _W2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
@@ -204,6 +205,7 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, seed: int = SEED, layou
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
     anchors = docs.select("doc_id", "text").mapInArrow(_anchors(window, seed), "h long, doc_id long, often boolean")
     seeds = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.max("often").alias("often")).filter("n > 1 or often").select("h")
+    seeds = written(seeds, "seeds")  # a table of its own, so that Spark can split a frequent anchor's rows in the join
     seeds_of = anchors.select("h", "doc_id").join(seeds, "h").groupBy("doc_id").agg(F.collect_set("h").alias("seeds"))
     # the three joins below deal the texts out by doc_id in the same way, so Spark does it once and reads it three times
     runs = docs.join(seeds_of, "doc_id", "left").mapInArrow(_runs(window, seed), "h long, r long, doc_id long, lo int")

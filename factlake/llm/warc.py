@@ -190,7 +190,7 @@ def write(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, revisit_bytes:
     revisits = long.join(copies, "sha").filter("page_id is null or page_id <> refers_to").select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha", "refers_to", F.lit(0).alias("k")).distinct()
     both = pages.select("page_id", "url", "payload", F.unhex(F.sha2("payload", 256)).alias("sha"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("k")).unionByName(revisits)
     placed = both.mapInArrow(_placed(_bounds(keys, shards, rows)), "shard int, page_id long, url string, payload binary, sha binary, refers_to long, k int")
-    sorted_ = placed.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "page_id", "sha", "k", "url")
+    sorted_ = placed.repartitionById(shards, "shard").sortWithinPartitions("shard", "page_id", "sha", "k", "url")
     files, root = _files(path)
     files.create_dir(f"{root}/_temporary", recursive=True)
     schema = "shard int, number int, file string, temporary string, bytes long, records long, sha256 string"
