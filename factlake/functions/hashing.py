@@ -60,24 +60,26 @@ def event_id(record_id: Column, old_hash: Column, new_hash: Column, event_type:
     return digest(F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]\n")))
 
 
-def _without_revisions(value, nested: frozenset):
-    if isinstance(value, dict):
-        return {k: _without_revisions(v, nested) for k, v in value.items() if k not in nested}
-    return [_without_revisions(v, nested) for v in value] if isinstance(value, list) else value
+def _facts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    nested, top = set(NESTED_REVISION_FIELDS), set(VOLATILE_FIELDS)
+    only_nested = sorted(nested - top)  # at the top these are facts
 
+    def stripped(pairs: list[tuple]) -> dict:
+        """Called by the parser for each object, the innermost first."""
+        return {k: v for k, v in pairs if k not in nested}
 
-def _semantic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    top, nested = frozenset(VOLATILE_FIELDS), frozenset(NESTED_REVISION_FIELDS)
-
-    def one(text):
+    def one(text: str | None) -> str | None:
         if text is None:
             return None
-        kept = {k: _without_revisions(v, nested) for k, v in json.loads(text).items() if k not in top}
-        for item in kept.get("provenance", []):
-            if isinstance(item, dict):
-                item.pop("revision", None)
-                item.pop("url", None)
-        return json.dumps(kept, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+        facts = json.loads(text, object_pairs_hook=stripped)
+        if any(f'"{k}"' in text for k in only_nested):
+            whole = json.loads(text)
+            facts |= {k: whole[k] for k in only_nested if k in whole}
+        for k in top & facts.keys():
+            del facts[k]
+        if "provenance" in facts:
+            facts["provenance"] = [{k: p[k] for k in p if k not in ("revision", "url")} if type(p) is dict else p for p in facts["provenance"]]
+        return json.dumps(facts, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
     for part in texts:
         yield part.map(one)
@@ -85,7 +87,7 @@ def _semantic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 #: Canonical JSON of a record's facts: volatile fields dropped at the top, revision fields at any depth. Depth is what column
 #: expressions can't follow, hence the Arrow batches.
-semantic_json = F.pandas_udf(_semantic, T.StringType())
+semantic_json = F.pandas_udf(_facts, T.StringType())
 
 
 def content_hash(record: Column) -> Column:

@@ -89,9 +89,9 @@ def record(source: str, native: Column, kind: str, *, title: Column, aliases: Co
 def _cve_reason() -> Column:
     d = F.col("doc")
     return (
-        F.when((text_at(d, "dataType") != "CVE_RECORD") | ~F.coalesce(text_at(d, "dataVersion").isin(CVE_VERSIONS), F.lit(False)), "unsupported CVE record schema")
-        .when(~F.coalesce(text_at(d, "cveMetadata.cveId").rlike(f"^{H.CVE}$"), F.lit(False)), "invalid CVE ID")
-        .when(~F.coalesce(text_at(d, "cveMetadata.state").isin(CVE_STATES), F.lit(False)), "unsupported CVE state")
+        F.when((text_at(d, "dataType") != "CVE_RECORD") | ~F.coalesce(text_at(d, "dataVersion").isin(CVE_VERSIONS), F.lit(False)), "record version not read")
+        .when(~F.coalesce(text_at(d, "cveMetadata.cveId").rlike(f"^{H.CVE}$"), F.lit(False)), "not a CVE id")
+        .when(~F.coalesce(text_at(d, "cveMetadata.state").isin(CVE_STATES), F.lit(False)), "state not read")
     )
 
 
@@ -221,7 +221,7 @@ def exploit_index(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     rows = rows.toDF(*[c.lstrip("﻿") for c in rows.columns])
     if lacking := [c for c in EXPLOIT_COLUMNS if c not in rows.columns]:
-        raise ValueError(f"unsupported exploit index: {lacking} missing")
+        raise ValueError(f"not an exploit index: {lacking} missing")
     for c in ("date_updated", "author", "platform", "type", "port", "verified"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
@@ -302,35 +302,49 @@ def _parse_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     columns = [c.split(" ")[0] for c in _TEMPLATE.split(", ")]
 
+    def several(value) -> list:
+        """A value that may be missing, single or a list."""
+        return value if type(value) is list else [] if value is None else [value]
+
+    def mapping_or_error(found) -> dict:
+        words = type(found) is dict and [*found.keys(), *found.values()]
+        if words and all(type(w) is str and w.strip() for w in words) and found.keys().isdisjoint(("id", "info", *PROTOCOLS)):
+            return {"mapping": found}
+        return {"error": "no id or info"}
+
+    def described(found: dict) -> dict:
+        info, payloads = found["info"], set()
+        for protocol in set(REQUEST_PROTOCOLS) & found.keys():
+            for request in found[protocol] or ():
+                if type(request) is not dict:
+                    return {"error": "a request of another type"}
+                payloads |= {v for v in (request.get("payloads") or {}).values() if type(v) is str}
+        tags, meta = info.get("tags"), info.get("metadata") or {}
+        if type(tags) is str:
+            tags = [t.strip() for t in tags.split(",")]
+        if type(several(tags)) is not list or type(tags) in (dict, int, float, bool):
+            return {"error": "tags of another type"}
+        links = several(info.get("reference"))
+        return {
+            "id": found["id"],
+            "name": info.get("name"),
+            "tags": list(map(str, several(tags))),
+            "identifiers": [x for x in several((info.get("classification") or {}).get("cve-id")) if type(x) is str],
+            "refs": [x if type(x) is str else json.dumps(x, ensure_ascii=False, sort_keys=True, default=str) for x in links],
+            "urls": [type(x) is str for x in links],
+            "protocols": [p for p in PROTOCOLS if p in found],
+            "payloads": sorted(payloads),
+            "products": {k: json.dumps(v) for k, v in meta.items() if k in ("vendor", "product", "cpe")},
+            "minimum_version": str(meta.get("min-version") or found.get("minimum-version") or "") or None,
+        }
+
     def one(path: str, content: bytes) -> dict:
-        row = dict.fromkeys(columns)
-        row["path"] = path
         try:
-            raw = yaml.safe_load(content)
+            found = yaml.safe_load(content)
         except yaml.YAMLError:
-            return row | {"error": "invalid YAML"}
-        if not isinstance(raw, dict):
-            return row | {"error": "invalid template metadata"}
-        if not isinstance(raw.get("id"), str) or not isinstance(raw.get("info"), dict):
-            plain = all(isinstance(k, str) and k.strip() and isinstance(v, str) and v.strip() for k, v in raw.items())
-            return row | ({"mapping": raw} if plain and not {"id", "info", *PROTOCOLS} & set(raw) else {"error": "invalid template metadata"})
-        info = raw["info"]
-        listed = lambda x: [x] if isinstance(x, str) else x if isinstance(x, list) else []
-        tags = [x.strip() for x in info["tags"].split(",")] if isinstance(info.get("tags"), str) else info.get("tags", [])
-        if not isinstance(tags, list):
-            return row | {"error": "invalid template tags"}
-        refs = info.get("reference", [])
-        refs = refs if isinstance(refs, list) else [refs]
-        requests = [r for p in REQUEST_PROTOCOLS for r in raw.get(p) or []]
-        if not all(isinstance(r, dict) for r in requests):
-            return row | {"error": "invalid template request"}
-        meta = info.get("metadata") or {}
-        return row | {
-            "id": raw["id"], "name": info.get("name"), "tags": [str(t) for t in tags], "identifiers": [str(x) for x in listed((info.get("classification") or {}).get("cve-id", []))],
-            "refs": [r if isinstance(r, str) else json.dumps(r, ensure_ascii=False, sort_keys=True, default=str) for r in refs], "urls": [isinstance(r, str) for r in refs],
-            "protocols": [p for p in PROTOCOLS if p in raw], "payloads": sorted({v for r in requests for v in (r.get("payloads") or {}).values() if isinstance(v, str)}),
-            "products": {k: json.dumps(meta[k]) for k in ("vendor", "product", "cpe") if k in meta}, "minimum_version": str(meta.get("min-version") or raw.get("minimum-version") or "") or None,
-        }
+            return dict.fromkeys(columns) | {"path": path, "error": "invalid YAML"}
+        template = type(found) is dict and type(found.get("id")) is str and type(found.get("info")) is dict
+        return dict.fromkeys(columns) | {"path": path} | (described(found) if template else mapping_or_error(found))
 
     for part in batches:
         yield pd.DataFrame([one(p, bytes(c)) for p, c in zip(part["path"], part["content"], strict=True)], columns=columns)
@@ -341,7 +355,7 @@ def template_records(files: DataFrame, revision: str, repository: str) -> tuple[
     parsed = files.select("path", "content").mapInPandas(_parse_templates, _TEMPLATE)
     whole = parsed.join(files.select("path", F.sha2("content", 256).alias("sha256"), H.git_blob_sha1(F.col("content")).alias("blob_sha"), F.octet_length("content").alias("bytes"), F.expr("contains(content, cast('{{interactsh-url}}' as binary))").alias("oob")), "path")
     unsafe = F.exists("payloads", lambda p: ~P.safe_path(p))
-    whole = whole.withColumn("error", F.coalesce("error", F.when(unsafe, "unsafe upstream path"), F.when(F.size("payloads") > 32, "too many template dependencies"), F.when(F.col("mapping").isNotNull(), "auxiliary mapping")))
+    whole = whole.withColumn("error", F.coalesce("error", F.when(unsafe, "a payload path that leaves its folder"), F.when(F.size("payloads") > 32, "over 32 dependencies"), F.when(F.col("mapping").isNotNull(), "auxiliary mapping")))
     upper = F.transform(F.concat("identifiers", "tags"), lambda x: F.upper(x))
     advisories = F.flatten(F.transform("refs", lambda r: F.regexp_extract_all(r, F.lit(f"(?i)({H.GHSA})"), F.lit(1))))
     aliases = F.array_sort(F.array_distinct(F.concat(F.filter(upper, lambda x: x.rlike(f"^{H.CVE}$")), advisories)))

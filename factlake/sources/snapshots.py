@@ -45,27 +45,27 @@ def manifest_problems(manifest: dict) -> list[str]:
     deltas, first = storage["deltas"], storage["checkpoint"]
     referenced = [*first["shards"], *[p for d in deltas for p in d["shards"]]]
     if len(set(paths)) < len(paths) or set(referenced) != set(paths):
-        found.append("storage shard inventory mismatch")
+        found.append("shards listed and shards referenced differ")
     if len(set(referenced)) < len(referenced):
-        found.append("storage shard referenced more than once")
+        found.append("a shard is referenced twice")
     if len({d["run_id"] for d in deltas}) < len(deltas):
-        found.append("duplicate delta run identifier")
+        found.append("two deltas have one run id")
     if any(not p.startswith(f"checkpoints/{first['id']}/") for p in first["shards"]):
-        found.append("checkpoint shard path does not match checkpoint identifier")
+        found.append("a checkpoint shard lies outside its folder")
     times = [first["created_at"], *[d["created_at"] for d in deltas]]
     if times != sorted(times):
-        found.append("delta batches are not chronologically ordered")
+        found.append("deltas go back in time")
     if any(not p.startswith(f"deltas/{d['run_id']}/") for d in deltas for p in d["shards"]):
-        found.append("delta shard path does not match run identifier")
+        found.append("a delta shard lies outside its folder")
     folder = {"upsert": "/records/upserts/", "delete": "/records/deletes/", "append": "/events/"}
     for s in manifest["shards"]:
         op, snapshot = s.get("operation"), s["path"] in first["shards"]
         if {"", ".", ".."} & set(s["path"].split("/")):
-            found.append("unsafe storage shard path")
+            found.append("a shard path with empty or dotted parts")
         if snapshot != (op == "snapshot") or op not in (("snapshot", "append") if s["kind"] == "events" else ("snapshot", "upsert", "delete")):
-            found.append("shard operation does not match its place")
+            found.append("a shard's operation doesn't fit its place")
         elif op in folder and folder[op] not in s["path"]:
-            found.append("shard operation does not match its path")
+            found.append("a shard's operation doesn't fit its path")
     return sorted(set(found))
 
 
@@ -203,7 +203,7 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
         if not made:
             return old
         if run_id in [d["run_id"] for d in old["storage"]["deltas"]]:
-            raise ValueError("duplicate delta run identifier")
+            raise ValueError("two deltas have one run id")
         manifest = json.loads(json.dumps(old))
         manifest["created_at"] = now
         manifest["shards"] += made

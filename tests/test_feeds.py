@@ -35,7 +35,7 @@ def test_cve(spark):
     body = json.loads(row.body)
     assert [a["affected_indices"] for a in body["assertions"]] == [[0], [1, 2]] and body["assertions"][0]["metrics"] == [{"m": 1}] and body["assertions"][0]["provider"]["dateUpdated"] == "x"
     assert json.loads(row.references[0])["assertion_role"] == "cna" and len(row.provenance) == 3 and json.loads(row.provenance[1])["independent_evidence"] is True
-    assert sorted(r.reason for r in feeds.cve_rejected(frame).collect()) == ["invalid CVE ID", "unsupported CVE record schema", "unsupported CVE state"]
+    assert sorted(r.reason for r in feeds.cve_rejected(frame).collect()) == ["not a CVE id", "record version not read", "state not read"]
 
 
 def test_ghsa(spark):
@@ -136,7 +136,7 @@ def test_templates(spark):
     assert row.aliases == ["CVE-2026-1001", "GHSA-2222-3333-4444"] and body["tags"] == ["auth", "cve2026", "x"] and body["protocols"] == ["http"]
     assert body["requirements"] == {"authentication": "required", "browser": False, "out_of_band": True, "code": False} and body["dependencies"][0]["path"] == "helpers/users.txt"
     assert [json.loads(x) for x in row.references] == [{"url": "https://a.example/"}, {"text": "see GHSA-2222-3333-4444", "relationship": "upstream-reference", "retrievable": False}]
-    assert {r.path: r.error for r in rejected.collect()} == {"b.yaml": "auxiliary mapping", "c.yaml": "invalid template metadata"}
+    assert {r.path: r.error for r in rejected.collect()} == {"b.yaml": "auxiliary mapping", "c.yaml": "no id or info"}
 
 
 def test_signature_blocks(spark):

@@ -81,11 +81,11 @@ def test_manifest_integrity(versions):
         change(m)
         return S.manifest_problems(m)
 
-    assert "storage shard inventory mismatch" in spoilt(lambda m: m["shards"].append(dict(m["shards"][0], path="checkpoints/x/extra.jsonl")))
-    assert "duplicate delta run identifier" in spoilt(lambda m: m["storage"]["deltas"][1].update(run_id="r2"))
-    assert "delta batches are not chronologically ordered" in spoilt(lambda m: m["storage"]["deltas"][1].update(created_at="2026-01-01T00:00:00Z"))
-    assert "shard operation does not match its place" in spoilt(lambda m: m["shards"][0].update(operation="upsert"))
-    assert "storage shard referenced more than once" in spoilt(lambda m: m["storage"]["deltas"][0]["shards"].append(m["storage"]["checkpoint"]["shards"][0]))
+    assert "shards listed and shards referenced differ" in spoilt(lambda m: m["shards"].append(dict(m["shards"][0], path="checkpoints/x/extra.jsonl")))
+    assert "two deltas have one run id" in spoilt(lambda m: m["storage"]["deltas"][1].update(run_id="r2"))
+    assert "deltas go back in time" in spoilt(lambda m: m["storage"]["deltas"][1].update(created_at="2026-01-01T00:00:00Z"))
+    assert "a shard's operation doesn't fit its place" in spoilt(lambda m: m["shards"][0].update(operation="upsert"))
+    assert "a shard is referenced twice" in spoilt(lambda m: m["storage"]["deltas"][0]["shards"].append(m["storage"]["checkpoint"]["shards"][0]))
 
 
 def test_event_identity_and_canonical_json(spark):
@@ -106,3 +106,9 @@ def test_scalar_helpers(spark):
     ).first()
     assert row.p == "cves/2024/12xxx/CVE-2024-12345.json" and row.g == "CVE-2024-12345" and row.b is None
     assert row.s.startswith("source-") and len(row.s) == 23 and row.t == ["a", "b"] and row.q == "a%20b/%C3%BC" and row.i == "2024-01-02T01:04:05Z"
+
+
+def test_semantic_projection(spark):
+    doc = {"record_id": "r", "content_hash": "x", "source_index_url": "kept", "body": [{"source_commit": "y", "fact": {"fetched_at": 1, "v": 2, "source_index_url": "gone"}}], "provenance": [{"revision": 1, "url": "u", "role": "cna"}, "text"], "assessment": {}, "url": "stays"}
+    got = spark.createDataFrame([(json.dumps(doc),), (None,)], "d string").select(H.semantic_json("d").alias("s")).collect()
+    assert json.loads(got[0].s) == {"record_id": "r", "source_index_url": "kept", "body": [{"fact": {"v": 2}}], "provenance": [{"role": "cna"}, "text"], "url": "stays"} and got[1].s is None
