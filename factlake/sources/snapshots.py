@@ -125,6 +125,20 @@ def read_version(spark: SparkSession, root: str, upto: str | None = None, verify
     return state, events
 
 
+def records_of(lines: DataFrame) -> DataFrame:
+    """The envelope of records (line) as typed columns, beside the line; the schema is given, never inferred."""
+    return lines.select(F.from_json("line", ENVELOPE).alias("r"), "line").select("r.*", "line")
+
+
+def events_of(lines: DataFrame) -> DataFrame:
+    return lines.select(F.from_json("line", EVENT).alias("e")).select("e.*")
+
+
+def logical_bytes(lines: DataFrame) -> DataFrame:
+    """Size of a snapshot's canonical lines."""
+    return lines.agg(F.coalesce(F.sum(F.octet_length("line") + 1), F.lit(0)).alias("bytes"))
+
+
 def read_changes(spark: SparkSession, root: str, base: dict) -> tuple[str, DataFrame]:
     """(mode, changes (record_id, op, line)) since another version's manifest: unchanged, incremental (only the new deltas are
     read) or full."""

@@ -41,6 +41,13 @@ def test_replay_and_as_of(spark, versions):
     assert state(S.read_version(spark, root, upto="r2")[0]) == {"cve/b": 2, "cve/c": 1}
 
 
+def test_typed_rows(spark, versions):
+    records, logged = S.read_version(spark, versions[0], upto="r2")
+    assert {(r.record_id, r.source_id) for r in S.records_of(records).collect()} == {("cve/b", "cve"), ("cve/c", "cve")}
+    assert [r.observed_at for r in S.events_of(logged).collect()] == ["2026-09-09T00:00:00Z"]
+    assert S.logical_bytes(records).first().bytes == sum(len(r.line.encode()) + 1 for r in records.collect())
+
+
 def test_changes(spark, versions):
     root, kept = versions
     mode, found = S.read_changes(spark, root, kept[1])
