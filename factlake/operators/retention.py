@@ -6,22 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def protected_ids(records: DataFrame, key: str, aliases: str, protects: Column) -> DataFrame:
-    """Keys that share an alias with a protecting record: a semi join on exploded aliases; Spark splits a hot alias."""
-    each = records.select(key, F.explode(aliases).alias("alias"), protects.alias("protects"))
-    safe = each.filter("protects").select("alias").distinct()
-    return each.select(key, "alias").join(safe, "alias", "left_semi").select(key).distinct()
+def protected_ids(candidates: DataFrame, protecting: DataFrame, key: str, aliases: str) -> DataFrame:
+    """Keys of candidates that share an alias with a protecting record: a semi join on exploded aliases, in which Spark can
+    split a frequent alias."""
+    safe = protecting.select(F.explode(aliases).alias("alias")).distinct()
+    return candidates.select(key, F.explode(aliases).alias("alias")).join(safe, "alias", "left_semi").select(key).distinct()
 
 
-def expire(records: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
-    """(kept, removed) of records (record_id, kind, kev, aliases, published_at, last_material_event_at). Resources, exploited
-    ones and those that share an alias with one stay; so do rows without dates."""
+def with_expiry(records: DataFrame, cutoff: Column) -> DataFrame:
+    """Records (record_id, kind, kev, aliases, published_at, last_material_event_at) with whether they expire. Resources,
+    exploited ones and those that share an alias with one stay; so do rows without dates. Only old rows are looked up."""
     kev = F.coalesce("kev", F.lit(False))
-    safe = protected_ids(records, "record_id", "aliases", kev).withColumn("safe", F.lit(True))
-    latest = F.greatest("published_at", "last_material_event_at")
-    old = (F.col("kind") != "resource") & ~kev & F.col("safe").isNull() & F.coalesce(latest < cutoff, F.lit(False))
-    judged = records.join(safe, "record_id", "left").withColumn("_old", old)
-    return judged.filter("not _old").drop("_old", "safe"), judged.filter("_old").drop("_old", "safe").withColumn("status", F.lit("retention_removed"))
+    old = (F.col("kind") != "resource") & ~kev & F.coalesce(F.greatest("published_at", "last_material_event_at") < cutoff, F.lit(False))
+    safe = protected_ids(records.filter(old), records.filter(kev), "record_id", "aliases").withColumn("_safe", F.lit(True))
+    return records.join(safe, "record_id", "left").withColumn("expired", old & F.col("_safe").isNull()).drop("_safe")
+
+
+def expire(records: DataFrame, cutoff: Column) -> tuple[DataFrame, DataFrame]:
+    """(kept, removed) records; removed ones leave the state, and are what retention events are made of."""
+    judged = with_expiry(records, cutoff)
+    return judged.filter("not expired").drop("expired"), judged.filter("expired").drop("expired").withColumn("status", F.lit("retention_removed"))
 
 
 def cut_events(events: DataFrame, start: Column, at: str = "observed_at") -> DataFrame:

@@ -137,8 +137,8 @@ def expire(spark, sf_dir):
         F.lit(None).cast("timestamp_ntz").alias("last_material_event_at"),
         F.lit("active").alias("status"),
     )
-    kept, removed = retention.expire(records, F.lit("1998-01-01").cast("timestamp_ntz"))
-    return kept.select(F.col("record_id").alias("o_orderkey"), F.lit("kept").alias("verdict")).union(removed.select("record_id", F.lit("removed")))
+    judged = retention.with_expiry(records, F.lit("1998-01-01").cast("timestamp_ntz"))
+    return judged.select(F.col("record_id").alias("o_orderkey"), F.when(F.col("expired"), "removed").otherwise("kept").alias("verdict"))
 
 
 @query("SELECT sha256(text) AS content_hash, max(doc_id) AS doc_id, min(doc_id) AS first_seq, list_sort(list_distinct(list(source))) AS sources FROM documents GROUP BY sha256(text)")
