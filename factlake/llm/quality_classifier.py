@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,12 +228,13 @@ def fitted(df: DataFrame, sample: int = SAMPLE):
     em = accuracies(codes, counts)
     one_in = max(1, int(counts.sum()) // sample)
     chosen = docs.filter("doc_id is not null").filter(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0)
-    rows = sorted(chosen.mapInArrow(_featurise, "doc_id long, code long, features array<int>, values array<float>").collect(), key=lambda r: (r.doc_id, r.code))
-    sizes = [len(r.features) for r in rows]
-    at = np.repeat(np.arange(len(rows)), sizes)
-    features = np.fromiter((x for r in rows for x in r.features), np.int64, sum(sizes))
-    values = np.fromiter((x for r in rows for x in r["values"]), np.float64, sum(sizes))
-    target = posteriors(np.array([r.code for r in rows], np.int64), *em)
+    table = chosen.mapInArrow(_featurise, "doc_id long, code long, features array<int>, values array<float>").toArrow()
+    table = table.take(np.lexsort((table.column("code").to_numpy(), table.column("doc_id").to_numpy())))
+    sizes = pc.list_value_length(table.column("features")).to_numpy()
+    at = np.repeat(np.arange(len(table)), sizes)
+    features = pc.list_flatten(table.column("features")).to_numpy().astype(np.int64)
+    values = pc.list_flatten(table.column("values")).to_numpy().astype(np.float64)
+    target = posteriors(table.column("code").to_numpy(), *em)
     return df.sparkSession.sparkContext.broadcast((*trained(at, features, values, target), em))
 
 
