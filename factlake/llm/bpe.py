@@ -32,7 +32,7 @@ from . import vocabulary as V
 from . import words as W
 
 #: Matches kept with their ids in each Python process.
-CACHED = 250_000
+CACHED = 150_000
 #: Rows decoded at once.
 ROWS = 500
 
@@ -135,7 +135,7 @@ def _encode(shared, offsets_too: bool):
         encoder = V.once(f"bpe {hash(made)}", lambda: _Encoder(*made))
         for batch in batches:
             buf, offsets = W.flat(batch.column("text"))
-            for a, b in W.slices(offsets):
+            for a, b in W.slices(offsets, W.SLICE_BYTES // 2):
                 part, o = buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 ids, count = encoder.ids(part, o)
                 columns = [batch.column("doc_id").slice(a, b - a), _blobs(ids.astype("<u4").tobytes(), 4 * count)]
