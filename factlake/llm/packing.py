@@ -4,8 +4,8 @@ A document's ids (its tokens, then the end id) are cut into full windows and a r
 Rests, longest first, each go to the open window with the least room that still holds them; a segment tree over remaining
 capacities finds it in log2(window) steps, and a new window opens where none fits.
 
-Packing is a streaming pass: each task packs its own rests, ``block`` at a time, so nothing is shuffled, no task holds
-more than a block, and a lost task is simply run again. Within a block only the last windows stay ill filled; such a
+Packing is a streaming pass: each task packs its own rests, about ``block`` tokens at a time, so nothing is shuffled, no task
+holds more than a block, and a lost task is simply run again. Within a block only the last windows stay ill filled; such a
 window is cut at powers of two, at which sequences need no padding.
 
 Words are looked up, not encoded again: the tokenizer drops white space and never joins over it, so distinct words are
@@ -30,9 +30,11 @@ from pyspark.sql import functions as F
 from . import vocabulary as V
 from . import words as W
 
-WINDOW, END, BLOCK = 4096, 2, 1 << 16
+WINDOW, END = 4096, 2
+#: Tokens of rests that a task gathers before it packs them: what bounds its memory.
+BLOCK = 1 << 23
 #: Words kept with their ids in each Python process.
-CACHED = 800_000
+CACHED = 400_000
 #: New words encoded as one text.
 JOINED = 512
 #: Kinds of bytes: white space (0), letters (1; lead bytes of U+00C0 to U+017F and all that follow a lead byte too), digits (2),
@@ -224,6 +226,7 @@ def _packed(tokenizer, window: int, end: int, block: int):
         encoder = V.once(f"words {hash(data)}", lambda: _Encoder(data))
         number = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # rests: doc_id, start, ids, ids of the document
+        tokens = 0
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             doc, start, ids, doc_tokens, sequence, offset = zip(*rows, strict=True)
@@ -250,7 +253,7 @@ def _packed(tokenizer, window: int, end: int, block: int):
         for batch in batches:
             buf, offsets = W.flat(batch.column("text"))
             docs = batch.column("doc_id").to_pylist()
-            for a, b in W.slices(offsets, 2 * W.SLICE_BYTES):
+            for a, b in W.slices(offsets):
                 ids, starts = encoder.of_texts(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], end)
                 rows = []
                 for k in range(b - a):
@@ -261,11 +264,12 @@ def _packed(tokenizer, window: int, end: int, block: int):
                         number += 1
                     if whole < len(own):
                         held.append((docs[a + k], whole, own[whole:].copy(), len(own)))
+                        tokens += len(own) - whole
                 if rows:
                     yield out(rows)
-            while len(held) >= block:
-                yield from packed(held[:block])
-                held = held[block:]
+                if tokens >= block:
+                    yield from packed(held)
+                    held, tokens = [], 0
         if held:
             yield from packed(held)
 
