@@ -93,14 +93,17 @@ def _search(k: int, projections: int):
         if queries.num_rows and vectors.num_rows:
             x, q = _matrix(vectors.column("embedding")), _matrix(queries.column("query"))
             ids, own = vectors.column("vec_id").to_numpy(), queries.column("query_id").to_numpy()
-            short, asked = x.astype(np.float32), q.astype(np.float32)
-            arrays = Arrays(x, float(vectors.column("largest")[0].as_py()), projections)
+            largest = float(vectors.column("largest")[0].as_py())
+            # of length 1 at most, so that a rough score is within half of ``slack`` of the true one
+            short, asked = (x / largest).astype(np.float32), (q / np.linalg.norm(q, axis=1, keepdims=True)).astype(np.float32)
+            slack = np.float32((x.shape[1] + 8) * 2.0**-22)
+            arrays = Arrays(x, largest, projections)
             enough = min(len(x), max(ENOUGH, int(SHARE * len(x))))
             for i, found in enumerate(arrays.candidates(q, int(COLLISIONS * projections), enough)):
                 found = found[ids[found] != own[i]]
-                if len(found) > 4 * k:  # single precision keeps four times as many as are wanted
+                if len(found) > k:  # single precision keeps all that may be among the best, however many are equal
                     rough = short[found] @ asked[i]
-                    found = found[np.argpartition(rough, len(rough) - 4 * k)[-4 * k :]]
+                    found = found[rough >= np.partition(rough, len(rough) - k)[len(rough) - k] - slack]
                 score = (x[found] * q[i]).sum(1)
                 best = np.lexsort((ids[found], -score))[:k]
                 for c, v in zip(out, (np.full(len(best), own[i]), ids[found][best], score[best]), strict=True):
