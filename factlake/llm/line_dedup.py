@@ -64,6 +64,38 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     removed = F.filter(F.coalesce("candidates", F.array().cast("array<struct<start:int,n:int>>")), lambda c: ~F.array_contains("stay", c["start"]))
     none_stay = F.coalesce("stay", F.array().cast("array<int>"))
     out = with_candidates.join(stay, "doc_id", "left").withColumn("stay", none_stay).select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), removed.alias("removed"))
+    return _without_removed(out)
+
+
+def _pairs(text: Column) -> Column:
+    """Array of (start, h) of each two consecutive lines of a text of which one has a word."""
+
+    def of(lines: Column) -> Column:
+        worded = F.transform(lines, lambda x: x.rlike(WORD))
+        starts = let(worded, lambda w: F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i + 1 < F.size(w)) & (F.get(w, i) | F.coalesce(F.get(w, i + 1), F.lit(False)))))
+        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.unhex(F.md5(F.array_join(F.slice(lines, i + 1, 2), "\n").cast("binary"))).alias("h")))
+
+    return let(F.split(text, "\n"), of)
+
+
+def repeats_removed(df: DataFrame) -> DataFrame:
+    """Like ``line_dedup``, but without cuts: every two consecutive lines that are found before go, so any run of two lines or more
+    that an earlier place has too goes whole, wherever it begins. Places are judged on the input; pairs are compared by 128 bits."""
+    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest")).withColumn("t", F.xxhash64("text"))
+    pairs = docs.filter("doc_id is not null and text is not null").select("doc_id", "t", F.inline(_pairs(F.col("text"))))
+    place = F.struct("doc_id", "t", "start")
+    often = written(pairs.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "first"), "repeated-pairs")
+    again = pairs.join(often, "h").filter(place != F.col("first")).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set("start")).alias("s"))
+    at = lambda k: F.get("s", k)
+    heads = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda k: (k == 0) | (at(k) > at(k - 1) + 2))
+    runs = let(heads, lambda x: F.transform(x, lambda k, j: F.struct(at(k).alias("start"), (at(F.coalesce(F.get(x, j + 1), F.size("s")) - 1) + 2 - at(k)).alias("n"))))
+    none = F.array().cast("array<struct<start:int,n:int>>")
+    out = docs.join(again.select("doc_id", "t", runs.alias("runs")), ["doc_id", "t"], "left")
+    return _without_removed(out.select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), F.coalesce("runs", none).alias("removed")))
+
+
+def _without_removed(out: DataFrame) -> DataFrame:
     end = lambda k: F.when(k == 0, 0).otherwise(F.get("removed", k - 1)["start"] + F.get("removed", k - 1)["n"])
     upto = lambda k: F.coalesce(F.get("removed", k)["start"], F.size("lines"))
     segments = F.transform(F.sequence(F.lit(0), F.size("removed")), lambda k: F.slice("lines", end(k) + 1, upto(k) - end(k)))
