@@ -109,34 +109,62 @@ def grouped(correlation: np.ndarray, m: int) -> list[list[int]]:
     return groups
 
 
+def within(group: list[int], differ: np.ndarray, most: int) -> np.ndarray:
+    """Probability that two fingerprints differ in 0, 1, ... ``most`` bits of a group at most, bits taken as independent."""
+    exactly = np.zeros(most + 1)
+    exactly[0] = 1
+    for b in group:
+        exactly = exactly * (1 - differ[b]) + np.concatenate([[0], exactly[:-1]]) * differ[b]
+    return np.cumsum(exactly)
+
+
+def ball(width: int, most: int) -> np.ndarray:
+    """How many keys of ``width`` bits differ from one in 0, 1, ... ``most`` bits at most."""
+    return np.cumsum([float(np.prod([(width - i) / (i + 1) for i in range(e)])) for e in range(most + 1)])
+
+
+def cheapest(options: list[list[tuple[int, float]]], need: int) -> tuple[float, list[int]] | None:
+    """One option of each group, as (gain, cost), so that gains add up to ``need`` or more at least cost: that cost and the
+    options' numbers. None if they can't."""
+    best: dict[int, tuple] = {0: (0.0, None)}  # by gain: cost, and the choices as a chain from the last one
+    for group in options:
+        step: dict[int, tuple] = {}
+        for have, (c, chain) in best.items():
+            for k, (gain, cost) in enumerate(group):
+                got, x = min(need, have + gain), c + cost
+                if got not in step or x < step[got][0]:
+                    step[got] = (x, (k, chain))
+        best = step
+    if need not in best:
+        return None
+    cost, chain = best[need]
+    taken = []
+    while chain:
+        k, chain = chain
+        taken.append(k)
+    return cost, taken[::-1]
+
+
 def allotted(groups: list[list[int]], differ: np.ndarray, rows: int, max_bits: int) -> tuple[float, list[int]]:
     """The thresholds (-1: not looked at) of least cost whose (t + 1) add up to max_bits + 1, and that cost."""
-    costs = []
+    options = []
     for group in groups:
-        within = np.zeros(max_bits + 1)  # probability of 0, 1, ... differing bits, taken as independent
-        within[0] = 1
-        for b in group:
-            within = within * (1 - differ[b]) + np.concatenate([[0], within[:-1]]) * differ[b]
-        ball = np.cumsum([float(np.prod([(len(group) - i) / (i + 1) for i in range(e)])) for e in range(max_bits + 1)])
-        costs.append([0.0, *(PROBE_COST * rows * ball + rows * rows / 2 * np.cumsum(within))])
-    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for cost in costs:
-        step: dict[int, tuple[float, list[int]]] = {}
-        for used, (c, ts) in best.items():
-            for add in range(max_bits + 2 - used):
-                x = (c + cost[add], [*ts, add - 1])
-                if used + add not in step or x[0] < step[used + add][0]:
-                    step[used + add] = x
-        best = step
-    return best[max_bits + 1]
+        costs = PROBE_COST * rows * ball(len(group), max_bits) + rows * rows / 2 * within(group, differ, max_bits)
+        options.append([(0, 0.0), *((t + 1, c) for t, c in enumerate(costs))])
+    cost, taken = cheapest(options, max_bits + 1)
+    return cost, [k - 1 for k in taken]
 
 
-def plan(together: np.ndarray, rows: int, max_bits: int) -> list[tuple[list[int], int]]:
-    """Groups of bits with their thresholds, the cheapest over all numbers of groups."""
+def correlated(together: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The correlation of each two bits, and how often two fingerprints differ in each, from how often bits are both set."""
     p = np.diag(together) / max(rows, 1)
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
-    correlation = (together / max(rows, 1) - np.outer(p, p)) / np.outer(spread, spread)
-    differ = 2 * p * (1 - p)
+    return (together / max(rows, 1) - np.outer(p, p)) / np.outer(spread, spread), 2 * p * (1 - p)
+
+
+def plan(together: np.ndarray, rows: int, max_bits: int) -> list[tuple[list[int], int]]:
+    """Groups of bits with their thresholds, the cheapest over all numbers of groups."""
+    correlation, differ = correlated(together, rows)
     found = [(*allotted(g, differ, rows, max_bits), g) for g in (grouped(correlation, m) for m in range(1, max_bits + 4))]
     _, thresholds, groups = min(found, key=lambda x: x[0])
     return [(g, t) for g, t in zip(groups, thresholds, strict=True) if t >= 0]
