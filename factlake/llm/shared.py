@@ -5,16 +5,31 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def named(column: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def documents(df: DataFrame) -> DataFrame:
+    """doc_id, t (a hash of the text, which tells texts of one doc_id apart), text and rest (a struct of the other columns)."""
+    others = [named(c) for c in df.columns if c not in ("doc_id", "text")] or [F.lit(None).cast("int").alias("none")]
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
+    return docs.select("doc_id", F.xxhash64("text").alias("t"), "text", "rest")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only where the session names none (tests, one machine) a local folder is set."""
+    """The cluster's checkpoint folder. Only where the session names none and runs on one machine a local folder is set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         sc = spark.sparkContext
         root = sc.getCheckpointDir()
         if not root:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is to name a folder that the driver and all executors see")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="factlake-"))
             root = sc.getCheckpointDir()
     elif not spark.sparkContext.getCheckpointDir():

@@ -12,11 +12,17 @@ that starts earlier: in a document of smaller doc_id, or before it in the same d
    joining their windows.
 3. Maximal repeats. The windows that are left over, merged where they touch, are the spans to remove.
 
-Every join is by a hash key that pre-aggregates before its shuffle (least doc_id and place of each run or window), so a
-passage in a third of all documents costs one row for each task. Runs and windows are compared by 128 bits.
+Matches are not extended pair by pair: a passage in many documents would give all its pairs. Equal runs are what the pairs
+of an anchor agree in when they are extended by up to a window to both sides, found by one aggregation; windows find the rest.
+
+Every join is by a hash key that pre-aggregates before its shuffle (the first place of each run or window), so a
+passage in a third of all documents costs one row for each task. Runs and windows are compared by 128 bits, in two halves that
+rest on different hashes of the words.
 
 Defined results: a null text has no words; a text without a repeated window stays; rows with null doc_id are
-neither compared nor changed; rows that repeat a doc_id with the same text get the same result; other columns are left alone.
+neither compared nor changed. A document is a doc_id with a text: rows that repeat both are one document and get the same
+result, rows that repeat a doc_id with other texts are documents of their own, in the order of their texts' hashes. Other columns
+are left alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
-from .shared import written
+from .shared import documents, written
 
 WINDOW, SEED = 20, 8
 _GRAM, _W1, _W2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
@@ -56,9 +63,9 @@ class _Slice:
         self.window = window
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of each window's words, in two halves."""
+        """128 bits of each window's words, in two halves from two hashes of the words."""
         one = W.grams(self.h, self.window, _W1)[self.first]
-        two = W.grams(W.mix(self.h + _PLACE), self.window, _W2)[self.first]
+        two = W.grams(W.hashes(self.buf, self.starts, self.ends, 1), self.window, _W2)[self.first]
         return W.mix(one), W.mix(two)
 
 
@@ -99,19 +106,25 @@ def _in(row: np.ndarray, value: np.ndarray, rows: np.ndarray, values: np.ndarray
     return np.isin(code[len(rows) :], code[: len(rows)])
 
 
+def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """A list for each of the rows; ``row`` is sorted."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)), pa.array(values))
+
+
 def _anchors(window: int, seed: int):
+    """The distinct anchors of each text, and those that lie in it more than once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, a, b, batch in _over(batches, window, seed):
-            ids = batch.column("doc_id").slice(a, b - a)
             h, text = s.hash[s.run], s.text[s.first[s.run]]
             order = np.lexsort((h, text))
             h, text = h[order], text[order]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
             at = np.flatnonzero(new)
-            often = np.diff(np.append(at, len(h))) > 1
-            out = pa.RecordBatch.from_arrays([pa.array(h[at]), ids.take(pa.array(text[at])), pa.array(often)], names=["h", "doc_id", "often"])
-            yield out.filter(out.column("doc_id").is_valid())
+            often = at[np.diff(np.append(at, len(h))) > 1]
+            lists = [_lists(h[x], text[x], b - a) for x in (at, often)]
+            yield pa.RecordBatch.from_arrays([batch.column(c).slice(a, b - a) for c in ("doc_id", "t")] + lists, names=["doc_id", "t", "anchors", "often"])
 
     return run
 
@@ -119,7 +132,7 @@ def _anchors(window: int, seed: int):
 def _runs(window: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, a, b, batch in _over(batches, window, seed):
-            ids = batch.column("doc_id").slice(a, b - a)
+            ids, texts = (batch.column(c).slice(a, b - a) for c in ("doc_id", "t"))
             if not len(s.run):
                 continue
             text, h = s.text[s.first[s.run]], s.hash[s.run]
@@ -132,8 +145,8 @@ def _runs(window: int, seed: int):
             content = np.add.reduceat(W.mix(W.mix(one + place * _PLACE) ^ two) + at, s.run).view(np.int64)
             text, h, content, lo = text[keep], h[keep], content[keep], s.first[s.run][keep]
             new = _distinct(text, h, content)
-            out = pa.RecordBatch.from_arrays([pa.array(h[new]), pa.array(content[new]), ids.take(pa.array(text[new])), pa.array((lo - s.word0[text])[new].astype(np.int32))], names=["h", "r", "doc_id", "lo"])
-            yield out
+            of = pa.array(text[new])
+            yield pa.RecordBatch.from_arrays([pa.array(h[new]), pa.array(content[new]), ids.take(of), texts.take(of), pa.array((lo - s.word0[text])[new].astype(np.int32))], names=["h", "r", "doc_id", "t", "lo"])
 
     return run
 
@@ -141,7 +154,7 @@ def _runs(window: int, seed: int):
 def _windows(window: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, a, b, batch in _over(batches, window, seed):
-            ids = batch.column("doc_id").slice(a, b - a)
+            ids, texts = (batch.column(c).slice(a, b - a) for c in ("doc_id", "t"))
             if not len(s.run):
                 continue
             text = s.text[s.first[s.run]]
@@ -153,7 +166,8 @@ def _windows(window: int, seed: int):
             first = s.first[take]
             text = s.text[first]
             new = _distinct(text, one, two)
-            yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(two[new]), ids.take(pa.array(text[new])), pa.array((first - s.word0[text])[new].astype(np.int32))], names=["w1", "w2", "doc_id", "start"])
+            of = pa.array(text[new])
+            yield pa.RecordBatch.from_arrays([pa.array(one[new]), pa.array(two[new]), ids.take(of), texts.take(of), pa.array((first - s.word0[text])[new].astype(np.int32))], names=["w1", "w2", "doc_id", "t", "start"])
 
     return run
 
@@ -201,21 +215,22 @@ def substring_dedup(df: DataFrame, window: int = WINDOW, seed: int = SEED, layou
     """One row for each row of ``df`` (doc_id long, text string): doc_id, n_words, n_removed, kept_text (the words left, joined by
     one space, or with ``layout`` the text with the spans cut out), spans (first word removed, first word after it, and so on,
     from 0) and rest (a struct of the other columns)."""
-    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")] or [F.lit(None).cast("int").alias("none")]
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
-    anchors = docs.select("doc_id", "text").mapInArrow(_anchors(window, seed), "h long, doc_id long, often boolean")
-    seeds = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.max("often").alias("often")).filter("n > 1 or often").select("h")
+    docs = documents(df)
+    anchors = docs.filter("doc_id is not null").select("doc_id", "t", "text").mapInArrow(_anchors(window, seed), "doc_id long, t long, anchors array<long>, often array<long>")
+    anchors = written(anchors, "anchors")  # read twice, found once
+    each = anchors.select("doc_id", "t", F.explode("anchors").alias("h"))
+    counted = each.select("h", F.lit(1).alias("n")).unionAll(anchors.select(F.explode("often").alias("h"), F.lit(1).alias("n")))
+    seeds = counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
     seeds = written(seeds, "seeds")  # a table of its own, so that Spark can split a frequent anchor's rows in the join
-    seeds_of = anchors.select("h", "doc_id").join(seeds, "h").groupBy("doc_id").agg(F.collect_set("h").alias("seeds"))
-    # the three joins below deal the texts out by doc_id in the same way, so Spark does it once and reads it three times
-    runs = docs.join(seeds_of, "doc_id", "left").mapInArrow(_runs(window, seed), "h long, r long, doc_id long, lo int")
-    firsts = runs.groupBy("h", "r").agg(F.min("doc_id").alias("doc_id"), F.min_by("lo", "doc_id").alias("lo"))
-    firsts_of = firsts.groupBy("doc_id").agg(F.collect_list("lo").alias("firsts"))
-    wins = docs.join(firsts_of, "doc_id", "left").mapInArrow(_windows(window, seed), "w1 long, w2 long, doc_id long, start int")
-    stays = wins.groupBy("w1", "w2").agg(F.min("doc_id").alias("doc_id"), F.min_by("start", "doc_id").alias("start"))
-    stays_of = stays.groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
-    return (
-        docs.join(seeds_of, "doc_id", "left")
-        .join(stays_of, "doc_id", "left")
-        .mapInArrow(_cleaned(window, seed, layout), f"doc_id long, rest {docs.schema['rest'].dataType.simpleString()}, n_words long, n_removed long, kept_text string, spans array<int>")
-    )
+    seeds_of = each.join(seeds, "h").groupBy("doc_id", "t").agg(F.collect_set("h").alias("seeds"))
+    # the three joins below deal the texts out by document in the same way, so Spark does it once and reads it three times
+    by = ["doc_id", "t"]
+    runs = docs.join(seeds_of, by, "left").mapInArrow(_runs(window, seed), "h long, r long, doc_id long, t long, lo int")
+    firsts = runs.groupBy("h", "r").agg(F.min(F.struct("doc_id", "t", "lo")).alias("at")).select("at.*")
+    firsts_of = firsts.groupBy("doc_id", "t").agg(F.collect_list("lo").alias("firsts"))
+    wins = docs.join(firsts_of, by, "left").mapInArrow(_windows(window, seed), "w1 long, w2 long, doc_id long, t long, start int")
+    stays = wins.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "t", "start")).alias("at")).select("at.*")
+    stays_of = stays.groupBy("doc_id", "t").agg(F.collect_list("start").alias("starts"))
+    out = T.StructType([docs.schema["doc_id"], docs.schema["rest"]])
+    out = out.add("n_words", "long").add("n_removed", "long").add("kept_text", "string").add("spans", T.ArrayType(T.IntegerType()))
+    return docs.join(seeds_of, by, "left").join(stays_of, by, "left").mapInArrow(_cleaned(window, seed, layout), out)
