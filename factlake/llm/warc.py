@@ -1,8 +1,10 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Writing. Records are range-sorted by page_id into shards whose bounds depend on the data alone: on the sizes at a sample of
-keys chosen by their hash, of at most ``SAMPLE`` keys. Each shard is a task's stream: a record becomes a gzip member of its
-own, with headers and digests regenerated, and a new file begins when the compressed size passes ``file_bytes``. Files get
+Writing. Records are range-sorted by page_id and payload digest into shards whose bounds depend on the data alone: on the sizes at
+a sample of keys chosen by their hash, of at most ``SAMPLE`` keys. There is a shard for each ``SHARD_BYTES`` of payload, up to
+``MOST_SHARDS``, beyond which shards grow. Each shard is a task's stream: a record becomes a gzip member of its
+own, with headers and digests regenerated, and a new file begins when the compressed size passes ``file_bytes``, by default
+a sixteenth of a shard's payload, so that a shard makes several files. Files get
 temporary names with the task's attempt; the rows that Spark commits name the files that count, which are then renamed, also
 as a Spark job, and listed in a manifest, written last. A lost task leaves an unlisted file, and a repeated run gives the
 same bytes under the same names.
@@ -13,9 +15,12 @@ writer as small rows sorted just before the records, so payloads are shuffled on
 
 Reading. Files, of bounded size, are read whole by Spark; members are parsed one by one, and digests are checked.
 
+A record's id is made of the page_id, the payload's digest and the number of the copy among rows that repeat both, so it is
+unique, and the id that a revisit refers to can be told without looking it up.
+
 Defined results: null html is an empty payload; null url gives a urn of the page; rows with null page_id come first and are
-revisits only of pages with an id; of rows that repeat page_id and payload the first is the response; an empty table gives no
-files.
+revisits only of pages with an id; of rows that repeat page_id and payload the first is the response, and these rows alone are
+never split between shards; an empty table gives no files.
 """
 
 from __future__ import annotations
@@ -23,15 +28,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_BYTES, SHARD_BYTES, MOST_SHARDS, REVISIT_BYTES, SAMPLE = 32 << 20, 16 << 20, 20_000, 1000, 100_000
+from .shared import written
+
+SHARD_BYTES, MOST_SHARDS, FILES_A_SHARD, REVISIT_BYTES, SAMPLE = 16 << 20, 20_000, 16, 1000, 100_000
+#: Compressed bytes that the reader looks at in one step.
+PIECE = 16384
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -52,24 +62,31 @@ def _member(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return z.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n") + z.flush()
 
 
-def record(page_id: int | None, copy: int, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, sha: bytes, copy: int, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
     """One record as a gzip member."""
     name = f"urn:page:{'' if page_id is None else page_id}"
+    digest = sha.hex()
     head = _HTTP.format(len(payload)).encode()
     block = head if revisit else head + payload
-    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<{name}:{copy}>"), ("WARC-Date", DATE), ("WARC-Target-URI", _clean(url) if url else name)]
+    headers = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<{name}:{digest}:{copy}>"), ("WARC-Date", DATE), ("WARC-Target-URI", _clean(url) if url else name)]
     if revisit:
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}:0>")]
+        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}:{digest}:0>")]
     headers += [("WARC-Payload-Digest", _sha1(payload)), ("WARC-Block-Digest", _sha1(block)), ("Content-Type", "application/http; msgtype=response")]
     return _member(headers, block)
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of a file."""
-    while data:
-        z = zlib.decompressobj(31)
-        raw = z.decompress(data) + z.flush()
-        data = z.unused_data
+    """Headers (names in lower case) and block of each record of a file, which is walked once, in pieces."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:
+            piece = view[at : at + PIECE]
+            if not len(piece):
+                raise ValueError("a record that breaks off")
+            parts.append(z.decompress(piece))
+            at += len(piece) - len(z.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         headers = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
@@ -127,7 +144,7 @@ def _write(path: str, file_bytes: int, revisit_bytes: int):
                     info = f"software: factlake\r\nformat: WARC File Format 1.1\r\npart: {shard} {number}\r\n".encode()
                     put(_member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:part:{shard}:{number}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], info), 0)
                 again = refers is None and copy > 0 and len(payload) >= revisit_bytes and page is not None
-                put(record(page, copy, url, payload, page if again else refers, again or refers is not None))
+                put(record(page, sha, copy, url, payload, page if again else refers, again or refers is not None))
                 copy += 1
         close()
         if done:
@@ -152,32 +169,46 @@ def _rename(path: str):
     return run
 
 
-def _bounds(pages: DataFrame, shards: int, rows: int) -> list[int]:
-    """Keys at which shards begin, from the sizes at a sample of keys that their hashes choose."""
+_LEAST = -(1 << 63)  # stands for a null page_id
+
+
+def _bounds(keys: DataFrame, shards: int, rows: int) -> list[tuple[int, int]]:
+    """Keys (page_id, first eight bytes of the digest) at which shards begin, from the sizes at a sample of keys that their
+    hashes choose."""
     if shards < 2:
         return []
     every = max(1, -(-rows // (SAMPLE // 2)))
-    sample = pages.filter("page_id is not null").filter(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0).groupBy("page_id").agg(F.sum("size").alias("size")).collect()  # half of SAMPLE or so
+    key = [F.coalesce("page_id", F.lit(_LEAST)).alias("page_id"), _lead("sha").alias("lead")]
+    sample = keys.select(*key, "size").filter(F.pmod(F.xxhash64("page_id", "lead"), F.lit(every)) == 0).groupBy("page_id", "lead").agg(F.sum("size").alias("size")).collect()  # half of SAMPLE or so
     if not sample:
         return []
-    keys = np.array(sorted((r.page_id, r.size) for r in sample), dtype=np.int64)
-    upto = np.cumsum(keys[:, 1] + 512)
+    found = sorted((r.page_id, r.lead, r.size) for r in sample)
+    upto = np.cumsum(np.array([size for _, _, size in found], np.int64) + 512)
     cuts = np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)
-    return sorted(set(keys[cuts, 0].tolist()))
+    return sorted({found[i][:2] for i in cuts.tolist()})
+
+
+def _lead(sha: str) -> Column:
+    """The first bytes of a digest as an integer that sorts as they do."""
+    return F.conv(F.hex(F.substring(F.col(sha), 1, 7)), 16, 10).cast("long")
+
 
+def _placed(bounds: list[tuple[int, int]]):
+    """The shard of each row: the number of bounds that are not above its key."""
 
-def _placed(bounds: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = np.array(bounds, np.int64)
+        pages = np.array([p for p, _ in bounds], np.int64)
         for batch in batches:
-            page = batch.column("page_id")
-            shard = np.searchsorted(at, page.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns], names=["shard", *batch.schema.names])
+            page = batch.column("page_id").fill_null(_LEAST).to_numpy(zero_copy_only=False)
+            shard, upto = (np.searchsorted(pages, page, side=s) for s in ("left", "right"))
+            for i in np.flatnonzero(shard < upto).tolist():  # pages at which a bound lies
+                shard[i] = bisect_right(bounds, (int(page[i]), int.from_bytes(batch.column("sha")[i].as_py()[:7], "big")))
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), *batch.columns], names=["shard", *batch.schema.names])
 
     return run
 
 
-def write(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
+def write(df: DataFrame, path: str, file_bytes: int | None = None, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """Writes a record for each row of ``df`` (page_id, url, html) under ``path`` (a folder that all executors see) and returns
     the manifest: shard, number, file, bytes, records, sha256."""
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
@@ -185,8 +216,10 @@ def write(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, revisit_bytes:
     keys = pages.select("page_id", F.unhex(F.sha2("payload", 256)).alias("sha"), F.octet_length("payload").cast("long").alias("size"))
     rows, total = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     shards = int(min(MOST_SHARDS, 1 + total // SHARD_BYTES))
+    file_bytes = file_bytes or max(SHARD_BYTES, total // shards) // FILES_A_SHARD
     long = keys.filter(F.col("size") >= revisit_bytes)
     copies = long.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).filter("n > 1 and refers_to is not null").drop("n")
+    copies = written(copies, "repeated-payloads")  # a table of its own, so that Spark can split a frequent payload's rows in the join
     revisits = long.join(copies, "sha").filter("page_id is null or page_id <> refers_to").select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "sha", "refers_to", F.lit(0).alias("k")).distinct()
     both = pages.select("page_id", "url", "payload", F.unhex(F.sha2("payload", 256)).alias("sha"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("k")).unionByName(revisits)
     placed = both.mapInArrow(_placed(_bounds(keys, shards, rows)), "shard int, page_id long, url string, payload binary, sha binary, refers_to long, k int")
@@ -195,9 +228,9 @@ def write(df: DataFrame, path: str, file_bytes: int = FILE_BYTES, revisit_bytes:
     files.create_dir(f"{root}/_temporary", recursive=True)
     schema = "shard int, number int, file string, temporary string, bytes long, records long, sha256 string"
     sorted_.mapInArrow(_write(path, file_bytes, revisit_bytes), schema).write.parquet(f"{path}/_written")
-    written = df.sparkSession.read.schema(schema).parquet(f"{path}/_written")
+    done = df.sparkSession.read.schema(schema).parquet(f"{path}/_written")
     final = "shard int, number int, file string, bytes long, records long, sha256 string"
-    written.mapInArrow(_rename(path), final).write.json(f"{path}/manifest")
+    done.mapInArrow(_rename(path), final).write.json(f"{path}/manifest")
     files.delete_dir(f"{root}/_temporary")  # what is left there is of attempts that don't count
     return df.sparkSession.read.schema(final).json(f"{path}/manifest")
 
@@ -216,7 +249,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column("content"):
             rows, held = [], 0
-            for headers, block in records(data.as_buffer().to_pybytes()):
+            for headers, block in records(data.as_buffer()):
                 if headers["warc-type"] == "warcinfo":
                     continue
                 head, _, payload = block.partition(b"\r\n\r\n")

@@ -35,6 +35,42 @@ def test_warc(spark):
     assert warc.write(pages.limit(0), root).count() == 0 and warc.read(spark, root).count() == 0
 
 
+def test_warc_ids_are_unique_and_referred_to(spark):
+    rows = [(None, "n", "a" * 1200), (None, "n", "b" * 1200), (None, "m", "b" * 1200), (2, "p", "b" * 1200), (2, "p", "c"), (2, "p", "c"), (2, "q", "d" * 3_000_000), (1, "q", "d" * 3_000_000)]
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/w"
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), "file://" + root)
+    found = [h for f in sorted(os.listdir(root)) if f.endswith(".gz") for h, _ in warc.records(open(f"{root}/{f}", "rb").read())]
+    ids = [h["warc-record-id"] for h in found]
+    responses = {h["warc-record-id"]: h["warc-payload-digest"] for h in found if h["warc-type"] == "response"}
+    revisits = [(h["warc-refers-to"], h["warc-payload-digest"]) for h in found if h["warc-type"] == "revisit"]
+    assert len(set(ids)) == len(ids) and len(revisits) == 3 and all(responses[to] == digest for to, digest in revisits)
+
+
+def test_warc_shards_roll_and_split_a_page(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 1 << 18)
+    rng = np.random.default_rng(1)
+    rows = [(i if i % 3 else 5, "u", "".join(map(chr, rng.integers(32, 127, 3000)))) for i in range(600)]  # a third of one page
+    made = []
+    for n in (1, 4):
+        root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/w"
+        manifest = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(n), root).collect()
+        made.append(sorted((r.file, r.sha256) for r in manifest))
+        shards = {r.shard for r in manifest}
+        assert len(shards) > 4 and len(manifest) > 3 * len(shards) and max(r.records for r in manifest) < 60
+        got = sorted((r.page_id, bytes(r.payload).decode()) for r in warc.read(spark, root).collect())
+        assert got == sorted((p, t) for p, _, t in rows)
+    assert made[0] == made[1]
+
+
+def test_warc_reader_is_linear():
+    import time
+
+    page = " ".join(map(str, np.random.default_rng(2).random(100))).encode()
+    data = b"".join(warc.record(i, hashlib.sha256(page).digest(), 0, "u", page, None, False) for i in range(16000))
+    began = time.process_time()
+    assert sum(1 for _ in warc.records(data)) == 16000 and time.process_time() - began < 8  # well below a second where nothing else runs
+
+
 def test_nearest_recall(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((3000, 16)) * rng.uniform(0.5, 2, (3000, 1))
