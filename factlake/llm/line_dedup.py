@@ -1,17 +1,22 @@
 """Line deduplication over content-defined chunks, in DataFrame functions only.
 
-A text's lines are cut into chunks where a rolling hash over the last two line hashes is divisible by ``divisor``, so cuts
-depend on nearby lines alone and come back after any shift. A chunk of two lines or more with a word that is found before
-(in a document of smaller doc_id, or earlier in the same one) is removed.
-
-1. Chunk hashes, places and sizes (no text) are counted, pre-aggregated before the shuffle; hashes found once drop out.
-2. The chunks left are cut out of their texts and grouped by their bytes, so equality does not rest on a hash; the first
-   place of each stays.
-3. Texts lose their candidates except the first places. Texts are dealt out by doc_id once, for both steps.
-
-Defined results: null texts stay null and have no lines; single lines are never removed; an empty text is one line; rows with
-null doc_id are not compared and stay as they are; rows that repeat a doc_id with the same text get the same result; other
-columns are left alone.
+A rolling hash over the last ``ROLL`` line hashes of a text says where it may be cut: after each line at which the hash, of the
+order of the lines too, lies in the lowest ``divisor``-th of its range. Cuts depend on nearby lines alone, so they come back
+after any shift. A chunk begins at each cut (and at the text's first line) and ends at the first cut at least two lines on (or
+at the last line), so no line is left alone in a chunk. A chunk with a word that is found before (in a document of smaller
+doc_id, or earlier in the same one) is removed, together with the lines before and after it that equal those around the first
+place, as far as the chunks that end and begin there reach.
+
+1. Chunk hashes and places (no text) are counted, pre-aggregated before the shuffle; hashes found once drop out.
+2. The chunks left are cut out of their texts, with the hashes of the lines around them, and grouped by their bytes, so equality
+   does not rest on a hash; the first place of each stays. The others meet it by the SHA-256 of the bytes, and are extended.
+3. Texts lose the union of what is found. Texts are dealt out once, for both steps.
+
+Runs of repeated lines that hold no whole chunk are not found; ``repeats_removed`` finds them all.
+
+Defined results: null texts stay null and have no lines; an empty text is one line; rows with null doc_id are not compared and
+stay as they are. A document is a doc_id with a text: rows that repeat both get the same result, rows that repeat a doc_id with
+other texts are documents of their own, in the order of their texts' hashes. Other columns are left alone, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,53 +25,111 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .expressions import WORD, let
-from .shared import written
+from .shared import documents, written
 
-DIVISOR, FACTOR = 3, 1000003
+#: The rolling hash is polynomial, to FACTOR, modulo the prime RANGE.
+DIVISOR, ROLL, FACTOR, RANGE = 2, 3, 65599, 2147483647
+
+
+def _hashes(lines: Column) -> Column:
+    """The first 32 bits of each line's MD5."""
+    return F.transform(lines, lambda x: F.conv(F.left(F.md5(x.cast("binary")), F.lit(8)), 16, 10).cast("long"))
+
+
+def _cuts(h: Column, divisor: int) -> Column:
+    """The numbers of lines after which a text is cut, from 0 (before its first line) to all lines."""
+
+    def rolled(i: Column) -> Column:
+        out = F.lit(0).cast("long")
+        for k in range(ROLL, 0, -1):
+            out = (out * FACTOR + F.get(h, i - k)) % RANGE
+        return out
+
+    inside = F.when(F.size(h) > ROLL, F.sequence(F.lit(ROLL), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.concat(F.array(F.lit(0)), F.filter(inside, lambda i: rolled(i) * divisor < RANGE), F.array(F.size(h)))
+
+
+def _spans(cuts: Column) -> Column:
+    """Array of (start, n, low, high) of the chunks of two lines or more between cuts; low and high are the cuts before its start and
+    after its end."""
+    at = lambda i: F.get(cuts, i)
+
+    def of(i: Column) -> Column:
+        j = F.when(at(i + 1) - at(i) >= 2, i + 1).otherwise(i + 2)  # cuts are a line apart at least
+        end = at(j)
+        low, high = F.when(i > 0, at(F.greatest(i - 1, F.lit(0)))).otherwise(0), F.coalesce(at(j + 1), end)
+        return F.struct(at(i).alias("start"), (end - at(i)).alias("n"), low.alias("low"), high.alias("high"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), F.greatest(F.size(cuts) - 2, F.lit(0))), of), lambda c: c["n"] > 1)
 
 
 def _chunks(text: Column, divisor: int) -> Column:
-    """Array of (start, n, h) of a text's chunks with two lines or more, one of which has a word."""
+    """Array of (start, n, low, high, h) of a text's chunks with a word."""
 
     def of(lines: Column) -> Column:
-        hashed = F.transform(lines, lambda x: F.conv(F.left(F.md5(x.cast("binary")), F.lit(8)), 16, 10).cast("long"))
-
         def cut(h: Column) -> Column:
-            ends_after = lambda i: (F.get(h, i - 1) * FACTOR + F.get(h, i)) % divisor == 0
-            starts = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | ((i > 1) & ends_after(i - 1)))
+            worded = F.filter(_spans(_cuts(h, divisor)), lambda c: F.exists(F.slice(lines, c["start"] + 1, c["n"]), lambda x: x.rlike(WORD)))
+            return F.transform(worded, lambda c: F.struct(*[c[k].alias(k) for k in ("start", "n", "low", "high")], F.xxhash64(F.slice(h, c["start"] + 1, c["n"])).alias("h")))
 
-            def sized(s: Column) -> Column:
-                all_of_them = F.transform(s, lambda a, k: F.struct(a.alias("start"), (F.coalesce(F.get(s, k + 1), F.size(h)) - a).alias("n")))
-                multi = F.filter(all_of_them, lambda c: (c["n"] > 1) & F.exists(F.slice(lines, c["start"] + 1, c["n"]), lambda x: x.rlike(WORD)))
-                return F.transform(multi, lambda c: F.struct(c["start"].alias("start"), c["n"].alias("n"), F.xxhash64(F.slice(h, c["start"] + 1, c["n"])).alias("h")))
+        return let(_hashes(lines), cut)
 
-            return let(starts, sized)
+    return let(F.split(text, "\n"), of)
 
-        return let(hashed, cut)
 
-    return let(F.split(text, "\n"), of)
+def _joint(a: Column, b: Column) -> Column:
+    """How many elements two arrays begin with in common."""
+    n = F.least(F.size(a), F.size(b))
+    differs = F.filter(F.sequence(F.lit(0), n), lambda i: (i == n) | (F.get(a, i) != F.get(b, i)))
+    return F.get(differs, F.lit(0))
 
 
 def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """One row for each row of ``df`` (doc_id, text): doc_id, n_lines, removed (array of (start, n) lines, in order), kept_text
     and rest (a struct of the other columns)."""
-    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
-    chunks = docs.filter("doc_id is not null and text is not null").select("doc_id", F.inline(_chunks(F.col("text"), divisor)))
+    docs, by = documents(df), ["doc_id", "t"]
+    chunks = docs.filter("doc_id is not null and text is not null").select(*by, F.inline(_chunks(F.col("text"), divisor)))
     often = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     often = written(often, "repeated-chunks")  # a table of its own, so that Spark can split a frequent chunk's rows in the join
-    candidates = chunks.join(often, "h").groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("candidates"))
-    with_candidates = docs.join(candidates, "doc_id", "left")
-    cut_out = let(F.split("text", "\n"), lambda lines: F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), F.array_join(F.slice(lines, c["start"] + 1, c["n"]), "\n").alias("chunk"))))
-    bytes_of = with_candidates.select("doc_id", F.inline(cut_out))
-    firsts = bytes_of.groupBy("chunk").agg(F.min(F.struct("doc_id", "start")).alias("first")).select("first.doc_id", "first.start")
-    stay = firsts.groupBy("doc_id").agg(F.collect_list("start").alias("stay"))
-    removed = F.filter(F.coalesce("candidates", F.array().cast("array<struct<start:int,n:int>>")), lambda c: ~F.array_contains("stay", c["start"]))
-    none_stay = F.coalesce("stay", F.array().cast("array<int>"))
-    out = with_candidates.join(stay, "doc_id", "left").withColumn("stay", none_stay).select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), removed.alias("removed"))
+    candidates = chunks.join(often, "h").groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("start", "n", "low", "high"))).alias("candidates"))
+
+    def around(lines: Column) -> Column:
+        part = lambda a, n: F.transform(F.slice(lines, a + 1, n), lambda x: F.xxhash64(x))
+        return F.transform(
+            "candidates",
+            lambda c: F.struct(
+                c["start"].alias("start"),
+                c["n"].alias("n"),
+                F.reverse(part(c["low"], c["start"] - c["low"])).alias("before"),
+                part(c["start"] + c["n"], c["high"] - c["start"] - c["n"]).alias("after"),
+                F.array_join(F.slice(lines, c["start"] + 1, c["n"]), "\n").alias("chunk"),
+            ),
+        )
+
+    bytes_of = docs.join(candidates, by).dropDuplicates(by).select(*by, F.inline(let(F.split("text", "\n"), around)))
+    bytes_of = bytes_of.withColumn("sha", F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)))
+    place = F.struct("doc_id", "t", "start", "before", "after")
+    firsts = bytes_of.groupBy("chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c"), F.any_value("sha").alias("sha")).filter("c > 1").select("sha", "first")
+    firsts = written(firsts, "first-chunks")
+    again = bytes_of.drop("chunk").join(firsts, "sha").filter(F.struct("doc_id", "t", "start") != F.struct("first.doc_id", "first.t", "first.start"))
+    more = again.select(*by, "start", "n", _joint(F.col("before"), F.col("first.before")).alias("up"), _joint(F.col("after"), F.col("first.after")).alias("down"))
+    spans = more.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct((F.col("start") - F.col("up")).alias("start"), (F.col("start") + F.col("n") + F.col("down")).alias("end")))).alias("s"))
+    out = docs.join(spans, by, "left").select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), _union("s").alias("removed"))
     return _without_removed(out)
 
 
+def _union(spans: str) -> Column:
+    """Array of (start, n) of the union of sorted spans (start, end); spans that overlap or touch become one."""
+    pair = "struct<start:int,end:int>"
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(done) > 0) & (s["start"] <= last["end"]), joined).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+
+    merged = F.aggregate(F.coalesce(spans, F.array().cast(f"array<{pair}>")), F.array().cast(f"array<{pair}>"), lambda d, s: add(d, s).cast(f"array<{pair}>"))
+    return F.transform(merged, lambda s: F.struct(s["start"].alias("start"), (s["end"] - s["start"]).alias("n")))
+
+
 def _pairs(text: Column) -> Column:
     """Array of (start, h) of each two consecutive lines of a text of which one has a word."""
 
@@ -81,8 +144,7 @@ def _pairs(text: Column) -> Column:
 def repeats_removed(df: DataFrame) -> DataFrame:
     """Like ``line_dedup``, but without cuts: every two consecutive lines that are found before go, so any run of two lines or more
     that an earlier place has too goes whole, wherever it begins. Places are judged on the input; pairs are compared by 128 bits."""
-    others = [F.col(f"`{c}`") for c in df.columns if c not in ("doc_id", "text")]
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest")).withColumn("t", F.xxhash64("text"))
+    docs = documents(df)
     pairs = docs.filter("doc_id is not null and text is not null").select("doc_id", "t", F.inline(_pairs(F.col("text"))))
     place = F.struct("doc_id", "t", "start")
     often = written(pairs.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "first"), "repeated-pairs")
@@ -104,13 +166,16 @@ def _without_removed(out: DataFrame) -> DataFrame:
 
 
 SQL = f"""WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-  lines AS (SELECT doc_id, i, l[i + 1] AS x FROM (SELECT doc_id, l, unnest(generate_series(0, len(l) - 1)) AS i FROM d)),
-  hashed AS (SELECT doc_id, i, x, ('0x' || md5(x)[1:8])::BIGINT AS h FROM lines),
-  cut AS (SELECT *, CASE WHEN i = 0 OR (i > 1 AND (lag(h, 2) OVER w * {FACTOR} + lag(h) OVER w) % {DIVISOR} = 0) THEN 1 ELSE 0 END AS starts FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-  numbered AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM cut),
-  chunks AS (SELECT doc_id, k, min(i) AS start, count(*) AS n, string_agg(x, chr(10) ORDER BY i) AS chunk FROM numbered GROUP BY doc_id, k HAVING count(*) > 1 AND bool_or(regexp_matches(x, '{WORD}'))),
-  again AS (SELECT doc_id, k, n FROM (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) AS r FROM chunks) WHERE r > 1),
-  kept AS (SELECT doc_id, string_agg(x, chr(10) ORDER BY i) AS kept FROM numbered ANTI JOIN again USING (doc_id, k) GROUP BY doc_id),
-  gone AS (SELECT doc_id, count(*) AS c, sum(n) AS n FROM again GROUP BY doc_id)
-SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(gone.n, 0)::BIGINT AS n_removed_lines, coalesce(gone.c, 0)::BIGINT AS n_removed_chunks,
-  CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept.kept, '')) END AS kept_sha256 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+  lines AS (SELECT doc_id, l, i, ('0x' || md5(l[i])[1:8])::BIGINT AS h FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d)),
+  rolled AS (SELECT doc_id, l, i, ((lag(h, 2) OVER w * {FACTOR} + lag(h) OVER w) % {RANGE} * {FACTOR} + h) % {RANGE} AS r FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  cuts AS (SELECT doc_id, l, i AS c FROM rolled WHERE i = len(l) OR r * {DIVISOR} < {RANGE} UNION ALL SELECT doc_id, l, 0 FROM d WHERE l IS NOT NULL),
+  near AS (SELECT doc_id, l, c, lag(c) OVER w AS b, lead(c) OVER w AS e1, lead(c, 2) OVER w AS e2, lead(c, 3) OVER w AS e3 FROM cuts WINDOW w AS (PARTITION BY doc_id ORDER BY c)),
+  spans AS (SELECT doc_id, l, c AS s, coalesce(b, 0) AS low, CASE WHEN e1 - c >= 2 THEN e1 ELSE e2 END AS e, CASE WHEN e1 - c >= 2 THEN coalesce(e2, e1) ELSE coalesce(e3, e2) END AS high FROM near),
+  chunks AS (SELECT doc_id, s, e, list_reverse(l[low + 1:s]) AS up, l[e + 1:high] AS down, array_to_string(l[s + 1:e], chr(10)) AS x FROM spans WHERE e IS NOT NULL),
+  firsts AS (SELECT *, first_value(doc_id) OVER w AS fd, first_value(s) OVER w AS fs, first_value(up) OVER w AS fu, first_value(down) OVER w AS fn FROM chunks WHERE regexp_matches(x, '{WORD}') WINDOW w AS (PARTITION BY x ORDER BY doc_id, s)),
+  again AS (SELECT doc_id, s - len(list_filter(range(1, least(len(up), len(fu)) + 1), lambda k: up[1:k] = fu[1:k])) AS a, e + len(list_filter(range(1, least(len(down), len(fn)) + 1), lambda k: down[1:k] = fn[1:k])) AS z FROM firsts WHERE doc_id <> fd OR s <> fs),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(a + 1, z + 1)) AS i FROM again),
+  runs AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE p IS NULL OR p < i - 1) AS c FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM gone) GROUP BY doc_id),
+  kept AS (SELECT doc_id, string_agg(l[i], chr(10) ORDER BY i) AS kept FROM lines ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed_lines, coalesce(c, 0)::BIGINT AS n_removed_runs,
+  CASE WHEN text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256 FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""

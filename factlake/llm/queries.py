@@ -65,7 +65,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.col("n_lines").cast("long").alias("n_lines"),
         lines.alias("n_removed_lines"),
-        F.size("removed").cast("long").alias("n_removed_chunks"),
+        F.size("removed").cast("long").alias("n_removed_runs"),
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
     )
 

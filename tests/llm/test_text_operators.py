@@ -92,29 +92,83 @@ def test_substring_dedup_edges(spark):
     assert first.kept_text == text and second.kept_text == "own\twords end" and second.rest.lang == "x"
 
 
-def test_line_dedup(spark, rows):
-    out = {r.doc_id: r for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+def lines_by_brute_force(rows):
+    """Texts left by chunks of content-defined cuts, extended line by line; rows are (document, text) in order."""
     h = lambda x: int(hashlib.md5(x.encode()).hexdigest()[:8], 16)
-    seen, expected = set(), {}
-    for i, t in sorted(rows):
+    chunks, firsts, out = [], {}, {}
+    for doc, t in sorted(rows, key=lambda r: r[0]):
         if t is None:
-            expected[i] = None
             continue
         lines = t.split("\n")
-        starts = [j for j in range(len(lines)) if j == 0 or (j > 1 and (h(lines[j - 2]) * 1000003 + h(lines[j - 1])) % 3 == 0)]
-        kept = []
-        for a, b in zip(starts, [*starts[1:], len(lines)], strict=True):
-            chunk = "\n".join(lines[a:b])
-            multi = b - a > 1 and WORDS.search(chunk)
-            if not (multi and chunk in seen):
-                kept += lines[a:b]
-            if multi:
-                seen.add(chunk)
-        expected[i] = "\n".join(kept)
+        rolled = lambda i: sum(h(lines[i - 1 - k]) * 65599**k for k in range(3)) % 2147483647
+        cuts = [0, *[i for i in range(3, len(lines)) if rolled(i) * 2 < 2147483647], len(lines)]
+        for i, start in enumerate(cuts[:-1]):
+            end = next((k for k, c in enumerate(cuts) if c >= start + 2), None)
+            if end is None or not WORDS.search("\n".join(lines[start : cuts[end]])):
+                continue
+            before, after = lines[cuts[max(i - 1, 0)] : start][::-1], lines[cuts[end] : cuts[min(end + 1, len(cuts) - 1)]]
+            chunks.append((doc, start, cuts[end], before, after, tuple(lines[start : cuts[end]])))
+            firsts.setdefault(chunks[-1][5], chunks[-1])
+        out[doc] = [lines, [False] * len(lines)]
+    joint = lambda x, y: next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))  # noqa: E731, B905
+    for doc, start, end, before, after, key in chunks:
+        first = firsts[key]
+        if (doc, start) != first[:2]:
+            for i in range(start - joint(before, first[3]), end + joint(after, first[4])):
+                out[doc][1][i] = True
+    return {doc: "\n".join(x for x, g in zip(*both, strict=True) if not g) for doc, both in out.items()}
+
+
+def lined(seed=2):
+    """Texts of lines with shared runs of lines, whole copies, and copies after a shift."""
+    rng = random.Random(seed)
+    line = lambda: " ".join(rng.choice("abcdefgh") * 3 for _ in range(6))
+    shared = [[line() for _ in range(n)] for n in (2, 3, 5, 8, 20)] + [["", " ", ""], ["x", ""]]
+    texts = [None, "", "one", "x\nx\nx\nx\nx\nx", "a\n\n\nb\n\n\nb"]
+    for _ in range(80):
+        parts = [[line() for _ in range(rng.randint(0, 3))] for _ in range(4)] + rng.sample(shared, rng.randint(0, 3))
+        rng.shuffle(parts)
+        texts.append("\n".join(x for p in parts for x in p))
+    return texts + texts[5:15] + ["shift\n" + t for t in texts[20:30]]
+
+
+def test_line_dedup(spark, rows):
+    rows = rows + [(len(rows) + i, t) for i, t in enumerate(lined())]
+    out = {r.doc_id: r for r in line_dedup.line_dedup(frame(spark, rows)).collect()}
+    expected = {i: None for i, t in rows if t is None} | lines_by_brute_force(rows)
     assert {i: r.kept_text for i, r in out.items()} == expected
+    for i, t in rows:  # the spans say what the text lacks
+        lines, gone = (t or "").split("\n"), {j for s in out[i].removed for j in range(s.start, s.start + s.n)}
+        assert t is None or out[i].kept_text == "\n".join(x for j, x in enumerate(lines) if j not in gone)
     assert line_dedup.line_dedup(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_rows_that_repeat_a_doc_id(spark):
+    """Documents are a doc_id with a text, in the order of doc_id and the text's hash."""
+    rng = random.Random(6)
+    block, other, words = "\n".join(prose(rng, 4) for _ in range(40)), prose(rng, 30), prose(rng, 40)
+    hashed = lambda pairs: sorted((i, xxhash.xxh64_intdigest(t.encode(), 42) - ((1 << 64) if xxhash.xxh64_intdigest(t.encode(), 42) >> 63 else 0), t) for i, t in set(pairs))
+    for extra in ([], [(7, other)], [(7, other + "\nm"), (7, block + "\n" + other)]):
+        pairs = [(1, block), (7, block), *extra, (7, block)]
+        names = {t: i for i, (_, _, t) in enumerate(hashed(pairs))}  # one text stands under two ids
+        expected = lines_by_brute_force([((i, h), t) for i, h, t in hashed(pairs)])
+        got = line_dedup.line_dedup(frame(spark, pairs)).collect()
+        assert len(names) and len(got) == len(pairs)
+        assert sorted((r.doc_id, r.kept_text) for r in got) == sorted([(i, expected[(i, h)]) for i, h, t in hashed(pairs)] + [(7, expected[next((i, h) for i, h, t in hashed(pairs) if i == 7 and t == block)])])
+        assert all(r.kept_text == "" for r in got if r.doc_id == 7 and r.n_lines == 40)
+    for pairs in ([(7, "z " + words), (7, words)], [(1, words), (7, "z " + words), (7, words + " end"), (7, "own")]):
+        expected = removed_by_brute_force([((i, h), t) for i, h, t in hashed(pairs)], 20)
+        got = substring_dedup.substring_dedup(frame(spark, pairs)).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got) == sorted((i, *expected[(i, h)]) for i, h, _ in hashed(pairs))
+
+
+def test_columns_of_any_name(spark):
+    odd = spark.createDataFrame([(1, "a b\nc d", "u", 2, {"k": 1}), (2, None, "v", 3, None)], "doc_id long, text string, `source url` string, `x``y.z` int, `t` map<string,int>")
+    for f in (line_dedup.line_dedup, line_dedup.repeats_removed, substring_dedup.substring_dedup, lambda d: substring_dedup.substring_dedup(d, layout=True)):
+        first, second = sorted(f(odd).collect())
+        assert first.kept_text.split() == ["a", "b", "c", "d"] and first.rest["source url"] == "u" and second.rest["x`y.z"] == 3 and first.rest["t"] == {"k": 1}
+
+
 def test_simhash(spark, rows):
     def fingerprint(t):
         w = WORDS.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
