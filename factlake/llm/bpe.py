@@ -27,9 +27,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vocabulary as V
 from . import words as W
+from .shared import in_small_batches
 
 #: Matches kept with their ids in each Python process.
 CACHED = 150_000
@@ -180,11 +182,11 @@ def vocabulary(spark: SparkSession, rank_file: str, pattern: str):
 def encode(df: DataFrame, shared, offsets: bool = True) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) and, with ``offsets``, starts and ends (array<int>, characters) for
     each row of ``df`` (doc_id, text)."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = in_small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_encode(shared, offsets), "doc_id long, ids binary" + ", starts array<int>, ends array<int>" * offsets)
 
 
 def decode(df: DataFrame, shared, as_text: bool = False) -> DataFrame:
     """The columns of ``df``, which has ids (binary) and no column decoded, and decoded: the bytes, or the text."""
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(_decode(shared, as_text), f"{schema}, decoded {'string' if as_text else 'binary'}")
+    schema = T.StructType([*df.schema.fields, T.StructField("decoded", T.StringType() if as_text else T.BinaryType())])
+    return df.mapInArrow(_decode(shared, as_text), schema)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from . import vocabulary as V
 from . import words as W
+from .shared import in_small_batches
 
 WINDOW, END = 4096, 2
 #: Tokens of rests that a task gathers before it packs them: what bounds its memory.
@@ -282,6 +283,6 @@ def pack(df: DataFrame, tokenizer_file: str, window: int = WINDOW, end: int = EN
     unsigned 32-bit). ``tokenizer_file`` is read by the driver; ``window`` is a power of two."""
     with open(tokenizer_file, encoding="utf-8") as file:
         tokenizer = df.sparkSession.sparkContext.broadcast(file.read())  # a file of fixed size
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = in_small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
     return docs.mapInArrow(_packed(tokenizer, window, end, block), schema)

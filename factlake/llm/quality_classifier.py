@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .shared import in_small_batches
 
 #: Texts that the model is trained on, about; hashed features of words.
 SAMPLE, BUCKETS = 4000, 1 << 12
@@ -217,7 +218,7 @@ def _kept(shared, threshold: float):
 
 
 def _texts(df: DataFrame) -> DataFrame:
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return in_small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def fitted(df: DataFrame, sample: int = SAMPLE):

@@ -9,6 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of texts that go to a Python worker at once. A batch stands in memory several times over, on both sides.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose texts are to go to Python: lowers the session's limit of rows for each Arrow batch, which is made for rows of
+    numbers, to ``BATCH_ROWS`` if it is higher."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def named(column: str) -> Column:
     """A column by its exact name, whatever characters it has."""
     return F.col("`" + column.replace("`", "``") + "`")
@@ -16,6 +29,7 @@ def named(column: str) -> Column:
 
 def documents(df: DataFrame) -> DataFrame:
     """doc_id, t (a hash of the text, which tells texts of one doc_id apart), text and rest (a struct of the other columns)."""
+    df = in_small_batches(df)
     others = [named(c) for c in df.columns if c not in ("doc_id", "text")] or [F.lit(None).cast("int").alias("none")]
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct(*others).alias("rest"))
     return docs.select("doc_id", F.xxhash64("text").alias("t"), "text", "rest")

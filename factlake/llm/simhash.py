@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
-from .shared import written
+from .shared import in_small_batches, written
 
 SHINGLE, MAX_BITS, SEED = 3, 3, 42
 #: A probe is dealt over the cluster and sorted, a candidate only compared: what one probe costs in candidates.
@@ -79,7 +79,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(df: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) for each row of ``df`` (doc_id, text)."""
-    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = in_small_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 
 

@@ -19,7 +19,7 @@ _KEEP = np.array([0] + [(1 << (8 * i)) - 1 for i in range(1, 9)], dtype=np.uint6
 #: Words longer than this are hashed one by one.
 LONG_WORD = 128
 #: Texts are taken in slices of about so many bytes, which bounds the memory of the numpy arrays.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
