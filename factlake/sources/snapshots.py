@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import canonical_json, source_partition
@@ -69,25 +69,35 @@ def manifest_problems(manifest: dict) -> list[str]:
     return sorted(set(found))
 
 
+def _local(path: Column, root: str) -> Column:
+    """A file's path below the root, either of which may be given with or without a scheme."""
+    base = root.rstrip("/") + "/"
+    if ":" in base:
+        base = base.split(":", 1)[1]
+    return F.replace(F.regexp_replace(path, "^[a-z0-9]+:/*", "/"), F.lit("/" + base.lstrip("/")), F.lit(""))
+
+
 def shard_problems(spark: SparkSession, root: str, declared: DataFrame) -> DataFrame:
     """Path and reason of shards that are missing, or whose bytes, lines or digest differ from the manifest's."""
-    base = root.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root)
-    # the path below the root, which may be given with or without a scheme
-    local = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), F.lit("^" + "/" + base.split(":", 1)[-1].lstrip("/")), F.lit(""))
     lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\\n]", ""))
-    present = files.select(local.alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    present = files.select(_local(F.col("path"), root).alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     return shards.inventory_check(declared.select("path", "count", "bytes", "sha256"), present, "path", ["bytes", "sha256", "count"])
 
 
-def _lines(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
-    """Lines of shards (line, shard), the shard as its place in ``paths``."""
-    if not paths:
-        return spark.createDataFrame([], "line string, shard int")
-    read = spark.read.text([f"{root}/{p}" for p in paths])
-    number = spark.createDataFrame(list(enumerate(paths)), "shard int, p string")
-    named = read.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("f"))
-    return named.join(F.broadcast(number), F.endswith("f", "p")).select("line", "shard")  # a row for each shard
+PLACE = "path string, shard int, delta_seq int, operation string"
+
+
+def _log(spark: SparkSession, root: str, places: list[tuple]) -> DataFrame:
+    """Lines of shards (line, shard, delta_seq, operation), for each place (path, shard, delta_seq, operation). The folders of
+    the checkpoint and the deltas are read, not a list of files; files that no place names drop out in the join."""
+    placed = spark.createDataFrame(places, PLACE)
+    folders = sorted({"/".join(p[0].split("/")[:2]) if p[0].startswith(("checkpoints/", "deltas/")) else "" for p in places})
+    if not places:
+        return placed.select(F.col("path").alias("line"), "shard", "delta_seq", "operation")
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text([root] if "" in folders else [f"{root}/{f}" for f in folders])
+    named = read.select(F.col("value").alias("line"), _local(F.col("_metadata.file_path"), root).alias("path"))
+    return named.join(placed, "path").select("line", "shard", "delta_seq", "operation")
 
 
 def read_version(spark: SparkSession, root: str, upto: str | None = None, verify: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -112,9 +122,7 @@ def read_version(spark: SparkSession, root: str, upto: str | None = None, verify
     of = lambda kind: [(n, p) for n, p in order if kinds[p][0] == kind]
 
     def log(kind: str) -> DataFrame:
-        paths = of(kind)
-        place = spark.createDataFrame([(i, n, kinds[p][1]) for i, (n, p) in enumerate(paths)] or [], "shard int, delta_seq int, operation string")
-        return _lines(spark, root, [p for _, p in paths]).join(F.broadcast(place), "shard")
+        return _log(spark, root, [(p, i, n, kinds[p][1]) for i, (n, p) in enumerate(of(kind))])
 
     field = lambda name: F.get_json_object("line", f"$.{name}")
     records = log("records").withColumn("record_id", field("record_id")).withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
@@ -149,8 +157,7 @@ def read_changes(spark: SparkSession, root: str, base: dict) -> tuple[str, DataF
     if a and b and replay.is_suffix(a["deltas"], b["deltas"], a["checkpoint"] == b["checkpoint"]):
         kinds = {s["path"]: (s["kind"], s["operation"]) for s in now["shards"]}
         paths = [(i, p) for i, d in enumerate(b["deltas"][len(a["deltas"]) :], 1) for p in d["shards"] if kinds[p][0] == "records"]
-        place = spark.createDataFrame([(k, i, kinds[p][1]) for k, (i, p) in enumerate(paths)] or [], "shard int, delta_seq int, operation string")
-        log = _lines(spark, root, [p for _, p in paths]).join(F.broadcast(place), "shard").withColumn("record_id", F.get_json_object("line", "$.record_id"))
+        log = _log(spark, root, [(p, k, i, kinds[p][1]) for k, (i, p) in enumerate(paths)]).withColumn("record_id", F.get_json_object("line", "$.record_id"))
         log = log.withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
         found = replay.changes(log, "record_id", ["delta_seq", "op_rank", "shard"], F.col("operation") == "delete")
         return "incremental", found.select("record_id", "op", "line")
@@ -179,6 +186,12 @@ def _write_shards(rows: DataFrame, part: list[str], key: str, root: str, folder:
             for path, body, count in zip(part_["path"], part_["body"], part_["count"], strict=True):
                 data = (body + "\n").encode()
                 files.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+                if files.get_file_info(f"{base}/{path}").type != fs.FileType.NotFound:  # of an attempt before, or of another run
+                    with files.open_input_stream(f"{base}/{path}", compression=None) as f:
+                        if f.read() != data:
+                            raise ValueError(f"{path} is there with other content")
+                    out.append((path, int(count), len(data), hashlib.sha256(data).hexdigest()))
+                    continue
                 with files.open_output_stream(f"{base}/{path}.tmp{hashlib.sha256(data).hexdigest()[:12]}") as f:
                     f.write(data)
                 files.move(f"{base}/{path}.tmp{hashlib.sha256(data).hexdigest()[:12]}", f"{base}/{path}")
@@ -192,7 +205,7 @@ def _write_shards(rows: DataFrame, part: list[str], key: str, root: str, folder:
 def write_version(spark: SparkSession, root: str, records: DataFrame, events: DataFrame, *, now: str, run_id: str, event_start_at: str, force_checkpoint: bool = False) -> dict:
     """Writes a version: a checkpoint where there is none, too many deltas, or if forced; else a delta of what differs from
     the version that is there. ``records`` has record_id, source_id and line, ``events`` event_id, observed_at and line (canonical
-    JSON). The manifest comes last; a run that breaks off leaves the old version as it was."""
+    JSON). The manifest comes last; a run that breaks off leaves the old version as it was, and so does one with an id that was used."""
     from pyarrow import fs
 
     files, base = fs.FileSystem.from_uri(root)
@@ -200,9 +213,14 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
     checkpoint = force_checkpoint or not old or not old.get("storage") or len(old["storage"]["deltas"]) >= MOST_DELTAS
     rows = records.select("record_id", source_partition(F.col("source_id")).alias("source"), canonical_json(F.col("line")).alias("line"))
     logged = events.select("event_id", F.substring("observed_at", 1, 10).alias("day"), canonical_json(F.col("line")).alias("line"))
+    ident = f"{now[:10].replace('-', '')}-{run_id}"
+    if old and old.get("storage"):  # before anything is written: what is referenced is never written again
+        if run_id in [d["run_id"] for d in old["storage"]["deltas"]]:
+            raise ValueError("two deltas have one run id")
+        if checkpoint and ident == old["storage"]["checkpoint"]["id"]:
+            raise ValueError("two checkpoints have one id")
     kind = lambda found, k, op: [{"path": d["path"], "kind": k, "operation": op, "count": d["count"], "bytes": d["bytes"], "sha256": d["sha256"]} for d in found]
     if checkpoint:
-        ident = f"{now[:10].replace('-', '')}-{run_id}"
         made = kind(_write_shards(rows, ["source"], "record_id", root, f"checkpoints/{ident}/records", RECORD_SHARD_BYTES), "records", "snapshot")
         made += kind(_write_shards(logged, ["day"], "event_id", root, f"checkpoints/{ident}/events", SHARD_BYTES), "events", "snapshot")
         manifest = {"schema_version": "1.0", "created_at": now, "shards": made, "storage": {"format": FORMAT, "checkpoint": {"id": ident, "created_at": now, "shards": [d["path"] for d in made]}, "deltas": []}}
@@ -216,8 +234,6 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
         made += kind(_write_shards(new, ["day"], "event_id", root, f"deltas/{run_id}/events", SHARD_BYTES), "events", "append")
         if not made:
             return old
-        if run_id in [d["run_id"] for d in old["storage"]["deltas"]]:
-            raise ValueError("two deltas have one run id")
         manifest = json.loads(json.dumps(old))
         manifest["created_at"] = now
         manifest["shards"] += made

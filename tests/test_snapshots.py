@@ -119,3 +119,44 @@ def test_semantic_projection(spark):
     doc = {"record_id": "r", "content_hash": "x", "source_index_url": "kept", "body": [{"source_commit": "y", "fact": {"fetched_at": 1, "v": 2, "source_index_url": "gone"}}], "provenance": [{"revision": 1, "url": "u", "role": "cna"}, "text"], "assessment": {}, "url": "stays"}
     got = spark.createDataFrame([(json.dumps(doc),), (None,)], "d string").select(H.semantic_json("d").alias("s")).collect()
     assert json.loads(got[0].s) == {"record_id": "r", "source_index_url": "kept", "body": [{"fact": {"v": 2}}], "provenance": [{"role": "cna"}, "text"], "url": "stays"} and got[1].s is None
+
+
+def test_used_run_id_changes_nothing(spark):
+    root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    write = lambda rows, run, **more: S.write_version(spark, root, lines(spark, rows), events(spark, []), now="2026-09-11T00:00:00Z", run_id=run, event_start_at="2026-09-05T00:00:00Z", **more)
+    write([("cve/a", 1)], "r1")
+    write([("cve/a", 2)], "r2")
+    with pytest.raises(ValueError, match="one run id"):
+        write([("cve/a", 3), ("cve/b", 3)], "r2")
+    with pytest.raises(ValueError, match="one id"):
+        write([("cve/a", 3)], "r1", force_checkpoint=True)
+    assert state(S.read_version(spark, root)[0]) == {"cve/a": 2}
+
+
+def test_left_over_shards_are_not_overwritten(spark):
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    write = lambda rows, run: S.write_version(spark, "file://" + root, lines(spark, rows), events(spark, []), now="2026-09-11T00:00:00Z", run_id=run, event_start_at="2026-09-05T00:00:00Z")
+    write([("cve/a", 1)], "r1")
+    path = os.path.join(root, write([("cve/a", 2)], "r2")["storage"]["deltas"][0]["shards"][0])
+    lost = path.replace("r2", "r3")  # what a run that broke off has left
+    os.makedirs(os.path.dirname(lost))
+    with open(path) as a, open(lost, "w") as b:
+        b.write(a.read())
+    assert "r3" in write([("cve/a", 1)], "r3x")["storage"]["deltas"][-1]["run_id"]
+    with pytest.raises(Exception, match="other content"):
+        write([("cve/a", 5)], "r3")
+    assert state(S.read_version(spark, "file://" + root)[0]) == {"cve/a": 1}
+
+
+def test_shards_are_found_by_their_whole_path(spark):
+    """A path that is the end of another one names its own file alone."""
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    for path, v in (("x.jsonl", 1), ("b/x.jsonl", 2)):
+        os.makedirs(os.path.dirname(os.path.join(root, path)) or root, exist_ok=True)
+        with open(os.path.join(root, path), "w") as f:
+            f.write(json.dumps({"v": v}) + "\n")
+    for base in (root, "file://" + root, "file:" + root + "/"):
+        log = S._log(spark, base, [("x.jsonl", 0, 0, "snapshot"), ("b/x.jsonl", 1, 0, "snapshot")])
+        assert sorted((r.shard, json.loads(r.line)["v"]) for r in log.collect()) == [(0, 1), (1, 2)]
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
