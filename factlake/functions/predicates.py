@@ -66,9 +66,9 @@ def _unusual_host(hosts: pd.Series) -> pd.Series:
 def _ipv4_not_global(h: Column) -> Column:
     """Whether a dotted address lies in a range that is not globally reachable."""
     p = F.transform(F.split(h, r"\."), lambda x: x.cast("int"))
-    a, b, c = (F.get(p, i) for i in range(3))
-    blocks = (a == 0) | (a == 10) | (a == 127) | (a >= 224) | ((a == 100) & b.between(64, 127)) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31))
-    return blocks | ((a == 192) & (b == 168)) | ((a == 192) & (b == 0) & c.isin(0, 2)) | ((a == 198) & b.isin(18, 19)) | ((a == 198) & (b == 51) & (c == 100)) | ((a == 203) & (b == 0) & (c == 113))
+    a, b, c, d = (F.get(p, i) for i in range(4))
+    blocks = (a == 0) | (a == 10) | (a == 127) | (a >= 240) | ((a == 100) & b.between(64, 127)) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31))
+    return blocks | ((a == 192) & (b == 168)) | ((a == 192) & (b == 0) & ((c == 2) | ((c == 0) & ~d.isin(9, 10)))) | ((a == 198) & b.isin(18, 19)) | ((a == 198) & (b == 51) & (c == 100)) | ((a == 203) & (b == 0) & (c == 113))
 
 
 def official_reference_reason(url: Column, unusual: bool = True) -> Column:

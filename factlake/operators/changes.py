@@ -57,10 +57,11 @@ def deletes(prior: DataFrame, current: DataFrame, key: str) -> DataFrame:
 
 
 def append_events(prior: DataFrame, new: DataFrame, key: str = "event_id") -> DataFrame:
-    """The log with the new events, the first of each id; prior ones win."""
+    """The log with the new events, one of each id: prior ones win, then the least row, so that the result is the same for any
+    partitioning."""
     both = prior.withColumn("_n", F.lit(0)).unionByName(new.withColumn("_n", F.lit(1)))
     rest = [c for c in prior.columns if c != key]
-    out = both.groupBy(key).agg(F.min_by(F.struct(*rest), "_n").alias("r"))
+    out = both.groupBy(key).agg(F.min(F.struct("_n", *rest)).alias("r"))
     return out.select(key, *[F.col(f"r.`{c}`").alias(c) for c in rest]).select(*prior.columns)
 
 

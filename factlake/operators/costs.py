@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a chain that a window takes at once.
+BLOCK_ROWS = 1_000_000
+
+
 def roll_up(charges: DataFrame, sets: list[list[str]], measures: list[Column]) -> DataFrame:
     """Several groupings in one pass; ``grouping`` tells them apart."""
     columns = list(dict.fromkeys(c for s in sets for c in s))
@@ -65,9 +69,18 @@ def unknown_parents(candidates: DataFrame, tips: DataFrame) -> DataFrame:
 
 def chain_order(commits: DataFrame, chain: str, pos: str, at: str, tie: str) -> DataFrame:
     """Commits with the key by which all chains replay: repeatedly taking the least head of the chains is sorting by the
-    greatest (time, chain, id) of a chain so far, then by place. The key needs one window a chain; the sort is global."""
-    w = Window.partitionBy(chain).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-    return commits.withColumn("replay_key", F.max(F.struct(at, chain, tie)).over(w))
+    greatest (time, chain, id) of a chain so far, then by place, a number. A long chain is taken in blocks of places, some
+    ``BLOCK_ROWS`` rows each if places lie evenly: a window within each, over which goes the greatest key of the blocks before."""
+    so_far = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    ends = commits.groupBy(chain).agg(F.min(pos).alias("_lo"), (F.max(pos) - F.min(pos) + 1).alias("_span"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("_blocks"))
+    block = F.floor((F.col(pos) - F.col("_lo")) / F.col("_span") * F.col("_blocks"))
+    dealt = commits.join(ends.withColumnRenamed(chain, "_chain"), F.col(chain).eqNullSafe(F.col("_chain"))).withColumn("_block", F.coalesce(block, F.lit(-1)))
+    own = F.max(F.struct(at, chain, tie)).over(so_far(Window.partitionBy(chain, "_block").orderBy(pos)))
+    greatest = dealt.groupBy("_chain", "_block").agg(F.max(F.struct(at, chain, tie)).alias("_m"))
+    before = Window.partitionBy("_chain").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    greatest = greatest.select(F.col("_chain").alias("_of"), F.col("_block").alias("_at"), F.max("_m").over(before).alias("_before"))
+    both = dealt.withColumn("_own", own).join(greatest, F.col("_chain").eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_at")))
+    return both.select(*[commits[c] for c in commits.columns], F.greatest("_own", "_before").alias("replay_key"))
 
 
 def cumulative(rows: DataFrame, part: list[str], order: list[Column], size: str, limit: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,10 +56,10 @@ def window_successes(runs: DataFrame) -> DataFrame:
     )
 
 
-def qualification(samples: DataFrame, key: str, at: str, bad: Column, longest_gap: float, needed: float) -> DataFrame:
+def qualification(samples: DataFrame, key: str, at: str, bad: Column, longest_gap: float, needed: float, ties: Sequence[str] = ()) -> DataFrame:
     """Observation windows of each key: seconds without a break, and whether they suffice. A gap that is negative or too long,
-    or a bad sample, ends the window for good; what had been gathered is reported apart."""
-    w = Window.partitionBy(key).orderBy(at)
+    or a bad sample, ends the window for good; what had been gathered is reported apart. Samples of one time are ordered by ``ties``, then bad ones last."""
+    w = Window.partitionBy(key).orderBy(at, *ties, bad)
     seen = samples.withColumns({"_gap": (F.col(at).cast("double") - F.lag(F.col(at).cast("double")).over(w)), "_first": F.row_number().over(w) == 1})
     broken = bad | F.coalesce((F.col("_gap") < 0) | (F.col("_gap") > longest_gap), F.lit(False))
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +34,10 @@ def cut_events(events: DataFrame, start: Column, at: str = "observed_at") -> Dat
     return events.filter(F.col(at) >= start)
 
 
-def history_trim(history: DataFrame, key: str, at: str, revision: str, cutoff: Column) -> DataFrame:
-    """Entries whose revision differs from the one before, without those whose successor is older than the cutoff."""
-    w = Window.partitionBy(key).orderBy(at)
+def history_trim(history: DataFrame, key: str, at: str, revision: str, cutoff: Column, ties: Sequence[str] = ()) -> DataFrame:
+    """Entries whose revision differs from the one before, without those whose successor is older than the cutoff. Entries of
+    one time are ordered by ``ties``, then by revision."""
+    w = Window.partitionBy(key).orderBy(at, *ties, revision)
     changed = history.withColumn("_before", F.lag(revision).over(w)).filter(~F.col("_before").eqNullSafe(F.col(revision))).drop("_before")
     return changed.withColumn("_next", F.lead(at).over(w)).filter(F.col("_next").isNull() | (F.col("_next") >= cutoff)).drop("_next")
 

@@ -18,11 +18,15 @@ def shard_plan(rows: DataFrame, part: list[str], key: str, size: str, limit: int
     groups = each.groupBy(*part, "_p").agg(F.sum("_s").alias("_b"), F.count(F.lit(1)).alias("_n"))
     fits = groups.filter((F.col("_b") <= limit) | (F.col("_n") == 1) | (F.length("_p") == deepest))
     # a group that fits is a shard unless the group one digit up fits too
-    up = fits.select(*part, F.col("_p").alias("_up"), F.lit(True).alias("_fits"))
-    shards = fits.withColumn("_up", F.substring("_p", F.lit(1), F.length("_p") - 1)).join(up, [*part, "_up"], "left").filter((F.length("_p") == first) | F.col("_fits").isNull()).select(*part, F.col("_p").alias("prefix"))
+    up = fits.select(*part, F.col("_p").alias("_up"))
+    below = fits.withColumn("_up", F.substring("_p", F.lit(1), F.length("_p") - 1))
+    shards = below.join(up, _same(below, up, [*part, "_up"]), "left_anti").select(*part, F.col("_p").alias("prefix"))
+    # a row is looked up by equality, at the few depths that the shards of its first digits have
+    depths_of = shards.groupBy(*part, F.substring("prefix", 1, first).alias("_c")).agg(F.collect_set(F.length("prefix")).alias("_depths"))
     keyed = hashed.withColumn("_c", F.substring("_h", 1, first))
-    shards = shards.withColumn("_c", F.substring("prefix", 1, first))
-    return keyed.join(shards, (F.col("_h").startswith(F.col("prefix"))) & _same(keyed, shards, [*part, "_c"])).select(*[keyed[c] for c in rows.columns], "prefix")
+    tried = keyed.join(depths_of, _same(keyed, depths_of, [*part, "_c"])).select(*[keyed[c] for c in hashed.columns], F.explode("_depths").alias("_d"))
+    tried = tried.withColumn("prefix", F.substring(F.col("_h"), F.lit(1), F.col("_d")))
+    return tried.join(shards, _same(tried, shards, [*part, "prefix"])).select(*[tried[c] for c in rows.columns], tried["prefix"])
 
 
 def _same(a: DataFrame, b: DataFrame, columns: list[str]):
@@ -41,13 +45,25 @@ def descriptors(rows: DataFrame, shard: list[str], key: str, line: str) -> DataF
     return rows.groupBy(*shard).agg(F.count(F.lit(1)).alias("count"), F.sum(F.octet_length(line) + 1).alias("bytes"), F.sha2(text, 256).alias("sha256"))
 
 
-def snapshot_digest(rows: DataFrame, key: str, content: str, digits: int = 2) -> DataFrame:
+#: Pairs that a bucket of a digest holds on average, at most.
+BUCKET_ROWS = 4096
+
+
+def snapshot_digest(rows: DataFrame, key: str, content: str, digits: int | None = None) -> DataFrame:
     """One digest of all (key, content) pairs, the same for any partitioning: each bucket of key hashes is digested in order,
-    then the digests are."""
+    then the digests of buckets that share all but their last two digits, and so on. The number of ``digits`` grows with the
+    rows, by two, so that no bucket does."""
+    if digits is None:
+        digits, n = 2, rows.count()
+        while n > BUCKET_ROWS * 16**digits:
+            digits += 2
     pair = F.concat_ws(":", F.col(key).cast("string"), F.col(content))
     hashed = rows.select(F.substring(F.sha2(F.col(key).cast("string"), 256), 1, digits).alias("bucket"), pair.alias("pair"))
     each = hashed.groupBy("bucket").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("pair")), ","), 256).alias("d"), F.count(F.lit(1)).alias("n"))
-    return each.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "d"))), lambda x: x["d"]), ","), 256).alias("digest"), F.sum("n").alias("n_rows"))
+    digest = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "d"))), lambda x: x["d"]), ","), 256)
+    for left in range(digits - 2, 0, -2):
+        each = each.groupBy(F.substring("bucket", 1, left).alias("_b")).agg(digest.alias("d"), F.sum("n").alias("n")).withColumnRenamed("_b", "bucket")
+    return each.agg(digest.alias("digest"), F.sum("n").alias("n_rows"))
 
 
 def inventory_check(declared: DataFrame, present: DataFrame, key: str, compared: list[str]) -> DataFrame:

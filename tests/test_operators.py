@@ -236,3 +236,64 @@ def test_shard_plan_is_the_recursive_one(spark):
 def test_material_difference(spark):
     frame = spark.createDataFrame([({**BASE}, {**BASE, "assertion_metrics": ["m"]}), ({**BASE}, {**BASE, "assertion_metrics": ["n"]}), ({**BASE}, {**BASE, "status": "x"})], f"old {STATE}, new {STATE}")
     assert [r.d for r in frame.select(changes.material_differs(F.col("old"), F.col("new")).alias("d")).collect()] == [False, True, True]
+
+
+def test_shard_plan_joins_by_equality(spark):
+    rows = spark.createDataFrame([(None if i % 3 == 0 else "p", f"k{i}", 100) for i in range(3000)], "part string, k string, size long")
+    planned = shards.shard_plan(rows, ["part"], "k", "size", 1000)
+    got = planned.collect()
+    import collections
+    import hashlib
+
+    sums = collections.Counter((r.part, r.prefix) for r in got)
+    assert len(got) == 3000 and all(hashlib.sha256(r.k.encode()).hexdigest().startswith(r.prefix) for r in got)
+    assert max(sums.values()) <= 10 and len({len(p) for _, p in sums}) > 1
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "StartsWith" not in plan and "NestedLoop" not in plan
+
+
+def test_snapshot_digest_of_more_digits(spark):
+    import hashlib
+
+    rows = [(i, f"h{i}") for i in range(500)]
+    frame = spark.createDataFrame(rows, "k long, h string")
+    got = shards.snapshot_digest(frame, "k", "h", 4).first()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    level = {}
+    for k, h in rows:
+        level.setdefault(sha(str(k))[:4], []).append(f"{k}:{h}")
+    level = {b: sha(",".join(sorted(p))) for b, p in level.items()}
+    up = {}
+    for b in sorted(level):
+        up.setdefault(b[:2], []).append(level[b])
+    assert got.digest == sha(",".join(sha(",".join(up[b])) for b in sorted(up))) and got.n_rows == 500
+    assert shards.snapshot_digest(frame.repartition(5), "k", "h", 4).first() == got
+
+
+def test_chain_order_in_blocks(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = [(c, p, rng.randint(0, 50), f"{c}{p}") for c in ("a", "b", None) for p in rng.sample(range(1000), 60)]
+    frame = spark.createDataFrame(rows, "branch string, pos long, ts long, sha string").repartition(4)
+    whole = {r.sha: tuple(r.replay_key) for r in costs.chain_order(frame, "branch", "pos", "ts", "sha").collect()}
+    monkeypatch.setattr(costs, "BLOCK_ROWS", 7)
+    blocks = {r.sha: tuple(r.replay_key) for r in costs.chain_order(frame, "branch", "pos", "ts", "sha").collect()}
+    expected = {sha: max(((t, c or "", s) for c2, p2, t, s in rows for c in [c2] if c2 == chain and p2 <= pos)) for chain, pos, _, sha in rows}
+    assert whole == blocks and {s: (k[0], k[1] or "", k[2]) for s, k in blocks.items()} == expected
+
+
+def test_events_of_one_id_are_the_same_however_dealt(spark):
+    prior = spark.createDataFrame([("e1", 9)], "event_id string, v int")
+    new = spark.createDataFrame([("e1", 1), ("e2", 5), ("e2", 3), ("e2", 4)], "event_id string, v int")
+    for n in (1, 4):
+        assert sorted(map(tuple, changes.append_events(prior, new.repartition(n)).collect())) == [("e1", 9), ("e2", 3)]
+
+
+def test_addresses_that_are_global(spark):
+    import ipaddress
+
+    hosts = ["224.0.0.1", "239.255.255.250", "240.0.0.1", "255.255.255.255", "192.0.0.8", "192.0.0.9", "192.0.0.10", "192.0.2.1", "100.64.0.1", "100.128.0.1", "172.32.0.1", "198.20.0.1", "8.8.8.8", "169.254.1.1", "203.0.113.9"]
+    frame = spark.createDataFrame([(f"https://{h}/x", h) for h in hosts], "url string, h string")
+    got = {r.h: r.reason for r in frame.select("h", P.official_reference_reason(F.col("url")).alias("reason")).collect()}
+    assert got == {h: None if ipaddress.ip_address(h).is_global else "non_public_url_host" for h in hosts}
