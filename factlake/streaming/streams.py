@@ -1,5 +1,6 @@
-"""Structured Streaming forms of replay, change detection and daily counts. Each runs to the end of what is there and stops;
-progress is kept in the checkpoint location, so a run resumes at the first unfinished batch."""
+"""Structured Streaming forms of replay, change detection and daily counts. Each runs to the end of what is there and stops.
+Progress and results are kept below the folder ``where``: a run that is given the folder of an earlier one resumes at the first
+unfinished batch. Without one, a new folder is taken and the whole source is read."""
 
 from __future__ import annotations
 
@@ -8,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def folder(spark: SparkSession, what: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder; a local one only where none is named."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factlake-")
+    """A new folder under the cluster's shared checkpoint folder; a local one only where none is named, on one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is to name a folder that the driver and all executors see")
+        root = tempfile.mkdtemp(prefix="factlake-")
     return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
@@ -47,9 +53,10 @@ def finished(stream: DataFrame, where: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
 
 
-def replayed(spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str], columns: list[str], files_per_batch: int | None = None) -> DataFrame:
-    """The last row of each key of a streamed log: each batch is folded into the state that the batch before has written."""
-    where = folder(spark, "replay")
+def replayed(spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str], columns: list[str], files_per_batch: int | None = None, where: str | None = None) -> DataFrame:
+    """The last row of each key of a streamed log: each batch is folded into the state that the batch before has written. A
+    batch that is run again reads what the one before it has left and overwrites its own state."""
+    where = where or folder(spark, "replay")
 
     def fold(batch: DataFrame, number: int) -> None:
         rows = batch.select(*columns)
@@ -59,14 +66,21 @@ def replayed(spark: SparkSession, path: str, schema: T.StructType, key: str, ord
 
     run = source(spark, path, schema, files_per_batch).writeStream.option("checkpointLocation", f"{where}/progress").trigger(availableNow=True).foreachBatch(fold).start()
     run.awaitTermination()
-    last = run.lastProgress["batchId"] if run.lastProgress else 0
-    for number in range(last, -1, -1):  # a batch without files writes no state
-        try:
-            return spark.read.parquet(f"{where}/state/{number}")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-    return spark.createDataFrame([], T.StructType([schema[c] for c in columns]))
+    done = finished_batches(spark, where)
+    if not done:  # a source without files has no batch
+        return spark.createDataFrame([], T.StructType([schema[c] for c in columns]))
+    return spark.read.parquet(f"{where}/state/{done[-1]}")
+
+
+def finished_batches(spark: SparkSession, where: str) -> list[int]:
+    """The numbers of a stream's finished batches, by its log of commits: a file for each of the last batches."""
+    try:
+        log = spark.read.option("pathGlobFilter", "[0-9]*").text(f"{where}/progress/commits").select("_metadata.file_name").distinct().collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(int(r.file_name) for r in log)
 
 
 class _Changes(StatefulProcessor):
@@ -88,14 +102,14 @@ class _Changes(StatefulProcessor):
         pass
 
 
-def state_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def state_changes(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, where: str | None = None) -> DataFrame:
     """Changes of event type of each user (user_id, event_id, event_type), by a stateful operator."""
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
-        rows = source(spark, path, schema).select("user_id", "event_id", "ts", "event_type")
+        rows = source(spark, path, schema, files_per_batch).select("user_id", "event_id", "ts", "event_type")
         found = rows.groupBy("user_id").transformWithStateInPandas(_Changes(), "user_id long, event_id long, event_type string", "append", "none")
-        return finished(found, folder(spark, "changes"))
+        return finished(found, where or folder(spark, "changes"))
     finally:
         if before:
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

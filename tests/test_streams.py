@@ -41,3 +41,33 @@ def test_sessions(spark):
     rows = [("k", t0 + dt.timedelta(seconds=s)) for s in (0, 900, 1800, 5000)]
     out = streams.sessions(spark.createDataFrame(rows, "k string, at timestamp"), "k", "at", "960 seconds", "1 hour")
     assert sorted((r.seconds, r.n_samples) for r in out.collect()) == [(960.0, 1), (2760.0, 3)]
+
+
+def test_a_broken_run_resumes(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    rows = [(i % 7, i, f"t{i % 3}") for i in range(60)]
+    schema = "user_id long, event_id long, event_type string"
+    for k in range(4):
+        spark.createDataFrame(rows[k::4], schema).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    whole, where = spark.read.schema(schema).parquet(f"{root}/log").schema, f"file://{root}/run"
+    run = lambda: streams.replayed(spark, f"{root}/log", whole, "user_id", ["event_id"], ["user_id", "event_id", "event_type"], files_per_batch=1, where=where)
+    calls, real = [], streams.last_rows
+
+    def breaks(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(streams, "last_rows", breaks)
+    try:
+        run()
+        raise AssertionError("the run was to break")
+    except Exception as e:  # noqa: BLE001
+        assert "lost" in str(e)
+    assert streams.finished_batches(spark, where) == [0, 1]
+    state = run()
+    assert len(calls) == 5 and {(r.user_id, r.event_id) for r in state.collect()} == {(u, max(i for v, i, _ in rows if v == u)) for u in range(7)}
+    assert run().count() == 7 and len(calls) == 5  # nothing new: the state as it was
+    spark.createDataFrame([(3, 1000, "t")], schema).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    assert {(r.user_id, r.event_id) for r in run().collect() if r.user_id == 3} == {(3, 1000)} and len(calls) == 6
