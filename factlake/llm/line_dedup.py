@@ -68,7 +68,7 @@ def _chunks(text: Column, divisor: int) -> Column:
 
     def of(lines: Column) -> Column:
         def cut(h: Column) -> Column:
-            worded = F.filter(_spans(_cuts(h, divisor)), lambda c: F.exists(F.slice(lines, c["start"] + 1, c["n"]), lambda x: x.rlike(WORD)))
+            worded = F.filter(let(_cuts(h, divisor), _spans), lambda c: F.exists(F.slice(lines, c["start"] + 1, c["n"]), lambda x: x.rlike(WORD)))
             return F.transform(worded, lambda c: F.struct(*[c[k].alias(k) for k in ("start", "n", "low", "high")], F.xxhash64(F.slice(h, c["start"] + 1, c["n"])).alias("h")))
 
         return let(_hashes(lines), cut)
