@@ -105,11 +105,11 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
             ),
         )
 
-    bytes_of = docs.join(candidates, by).dropDuplicates(by).select(*by, F.inline(let(F.split("text", "\n"), around)))
+    # the same join as the last one, so that Spark deals the texts out once for both; inline leaves out what has no candidates
+    bytes_of = docs.join(candidates, by, "left").select(*by, F.inline(let(F.split("text", "\n"), around)))
     bytes_of = bytes_of.withColumn("sha", F.unhex(F.sha2(F.col("chunk").cast("binary"), 256)))
     place = F.struct("doc_id", "t", "start", "before", "after")
     firsts = bytes_of.groupBy("chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c"), F.any_value("sha").alias("sha")).filter("c > 1").select("sha", "first")
-    firsts = written(firsts, "first-chunks")
     again = bytes_of.drop("chunk").join(firsts, "sha").filter(F.struct("doc_id", "t", "start") != F.struct("first.doc_id", "first.t", "first.start"))
     more = again.select(*by, "start", "n", _joint(F.col("before"), F.col("first.before")).alias("up"), _joint(F.col("after"), F.col("first.after")).alias("down"))
     spans = more.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct((F.col("start") - F.col("up")).alias("start"), (F.col("start") + F.col("n") + F.col("down")).alias("end")))).alias("s"))
