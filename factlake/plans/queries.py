@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing as H
 from ..functions import predicates as P
 from ..operators import changes, costs, coverage, fragments, reconcile, replay, retention, shards
+from ..sources import snapshots
 from ..streaming import streams
 
 QUERIES: dict = {}
@@ -180,6 +181,19 @@ def snapshot_digest(spark, sf_dir):
     return shards.snapshot_digest(_t(spark, sf_dir, "supplier").select("s_suppkey", F.md5("s_name").alias("h")), "s_suppkey", "h")
 
 
+@query("""SELECT 'customer/' || c_custkey AS record_id, CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 11 <> 0""")
+def snapshot_roundtrip(spark, sf_dir):
+    """Customers written as a checkpoint, then, some of them new, changed or gone, as a delta; verified, read and replayed."""
+    c = _t(spark, sf_dir, "customer").select(F.concat(F.lit("customer/"), F.col("c_custkey").cast("string")).alias("record_id"), F.lit("customer").alias("source_id"), "c_custkey", F.col("c_mktsegment").alias("segment"))
+    changed = c.withColumn("segment", F.when(F.col("c_custkey") % 7 == 0, "CHANGED").otherwise(F.col("segment"))).filter("c_custkey % 11 <> 0")
+    no_events, root = spark.createDataFrame([], "event_id string, observed_at string, line string"), streams.folder(spark, "snapshot")
+    for day, version in enumerate((c.filter("c_custkey % 5 <> 0"), changed), 1):
+        rows = version.select("record_id", "source_id", F.to_json(F.struct("record_id", "source_id", "segment")).alias("line"))
+        snapshots.write_version(spark, root, rows, no_events, now=f"2024-01-0{day}T00:00:00Z", run_id=f"r{day}", event_start_at="2024-01-01T00:00:00Z")
+    records, _ = snapshots.read_version(spark, root)
+    return records.select("record_id", F.get_json_object("line", "$.segment").alias("segment"))
+
+
 @query("SELECT doc_id, sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS bytes, CASE WHEN octet_length(encode(text)) > 4096 THEN ceil(octet_length(encode(text)) / 2048.0)::INT END AS total_parts FROM documents")
 def fragment_roundtrip(spark, sf_dir):
     """Long texts cut into parts, put together again, verified."""
