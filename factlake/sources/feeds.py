@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions import predicates as P
+from .paths import below
 
 CVE_VERSIONS = ["5.0", "5.1", "5.1.1", "5.2"]
 CVE_STATES = ["PUBLISHED", "REJECTED"]
@@ -287,8 +288,7 @@ def advisory_pages(published: DataFrame, updated: DataFrame) -> DataFrame:
 def corpus(spark: SparkSession, path: str, glob: str = "*.yaml") -> DataFrame:
     """Files as (path below the folder, content)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    root = F.regexp_replace(F.lit(path.rstrip("/") + "/"), "^file:/*", "/")
-    return files.select(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), F.concat(F.lit("^"), root), F.lit("")).alias("path"), "content")
+    return files.select(below(F.col("path"), path).alias("path"), "content")
 
 
 _TEMPLATE = "path string, error string, id string, name string, tags array<string>, identifiers array<string>, refs array<string>, urls array<boolean>, protocols array<string>, payloads array<string>, products map<string,string>, minimum_version string, mapping map<string,string>"

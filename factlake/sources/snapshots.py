@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import canonical_json, source_partition
 from ..operators import changes, replay, shards
+from .paths import below
 
 RECORD_SHARD_BYTES, SHARD_BYTES, MOST_DELTAS = 65536, 524288, 168
 FORMAT = "checkpoint-delta-v1"
@@ -69,19 +70,11 @@ def manifest_problems(manifest: dict) -> list[str]:
     return sorted(set(found))
 
 
-def _local(path: Column, root: str) -> Column:
-    """A file's path below the root, either of which may be given with or without a scheme."""
-    base = root.rstrip("/") + "/"
-    if ":" in base:
-        base = base.split(":", 1)[1]
-    return F.replace(F.regexp_replace(path, "^[a-z0-9]+:/*", "/"), F.lit("/" + base.lstrip("/")), F.lit(""))
-
-
 def shard_problems(spark: SparkSession, root: str, declared: DataFrame) -> DataFrame:
     """Path and reason of shards that are missing, or whose bytes, lines or digest differ from the manifest's."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root)
     lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\\n]", ""))
-    present = files.select(_local(F.col("path"), root).alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    present = files.select(below(F.col("path"), root).alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     return shards.inventory_check(declared.select("path", "count", "bytes", "sha256"), present, "path", ["bytes", "sha256", "count"])
 
 
@@ -96,7 +89,7 @@ def _log(spark: SparkSession, root: str, places: list[tuple]) -> DataFrame:
     if not places:
         return placed.select(F.col("path").alias("line"), "shard", "delta_seq", "operation")
     read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text([root] if "" in folders else [f"{root}/{f}" for f in folders])
-    named = read.select(F.col("value").alias("line"), _local(F.col("_metadata.file_path"), root).alias("path"))
+    named = read.select(F.col("value").alias("line"), below(F.col("_metadata.file_path"), root).alias("path"))
     return named.join(placed, "path").select("line", "shard", "delta_seq", "operation")
 
 

@@ -147,3 +147,20 @@ def test_signature_blocks(spark):
 
     (row,) = feeds.signature_blocks(frame).collect()
     assert (row.matcher_count, row.odd_lines) == (2, 6) and row.matcher_blocks_sha256 == hashlib.sha256(("\n".join(lines[:12]) + "\n").encode()).hexdigest()
+
+
+def test_corpus_names_files_below_its_folder(spark):
+    root = tempfile.mkdtemp(prefix="spark-a.b+", dir="/tmp")  # characters that mean something in a pattern
+    for name in ("x.yaml", "b/c/y.yaml", "b/z.txt"):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "w") as f:
+            f.write(name)
+    for base in (root, root + "/", "file://" + root):
+        assert sorted((r.path, bytes(r.content).decode()) for r in feeds.corpus(spark, base).collect()) == [("b/c/y.yaml", "b/c/y.yaml"), ("x.yaml", "x.yaml")]
+
+
+def test_active_projection(spark):
+    columns = ["record_id", "source_id", "native_id", "kind", "aliases", "status", "title", "references", "published_at", "source_modified_at"]
+    rows = spark.createDataFrame([(*["r"] * 5, s, *["x"] * 4, "hidden") for s in ("active", "withdrawn")], [*columns, "assessment"])
+    got = feeds.active_projection(rows).collect()
+    assert len(got) == 1 and got[0].status == "active" and list(got[0].asDict()) == columns

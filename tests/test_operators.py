@@ -297,3 +297,11 @@ def test_addresses_that_are_global(spark):
     frame = spark.createDataFrame([(f"https://{h}/x", h) for h in hosts], "url string, h string")
     got = {r.h: r.reason for r in frame.select("h", P.official_reference_reason(F.col("url")).alias("reason")).collect()}
     assert got == {h: None if ipaddress.ip_address(h).is_global else "non_public_url_host" for h in hosts}
+
+
+def test_baseline_and_active_ids(spark):
+    versions = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 9, "z"), ("b", 9, "late"), ("c", 4, None)], "k string, at int, v string")
+    got = reconcile.baseline(versions, "k", "at", F.lit(5)).collect()
+    assert sorted((r.k, r.at, r.v or "") for r in got) == [("a", 3, "y"), ("c", 4, "")]
+    records = spark.createDataFrame([("active", ["x", "y"]), ("active", ["y"]), ("withdrawn", ["z"]), ("active", []), ("active", None)], "status string, aliases array<string>")
+    assert sorted(r.alias for r in reconcile.active_ids(records).collect()) == ["x", "y"]
