@@ -13,7 +13,7 @@ size, by a cogrouped join. Each pair of blocks gives at most k rows a query, of
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part; vectors of different
 lengths are never compared; ties go to the smaller vec_id; a query's own vec_id is no candidate, repeated rows of others are
-candidates each; null vec_ids take no part; with fewer candidates than k all are returned.
+candidates each, but rows that repeat a query's vec_id ask once, by the shortest vector that sorts first; null vec_ids take no part; with fewer candidates than k all are returned.
 """
 
 from __future__ import annotations
@@ -125,7 +125,8 @@ def nearest(df: DataFrame, is_query: Callable[[Column], Column], k: int = K, pro
     both = vectors.join(sizes, "d")  # a row for each length of vectors
     spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     dealt = both.select("d", "largest", "vec_id", "embedding", spread("blocks").alias("b"), F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)).alias("q"))
-    asked = both.filter(is_query(F.col("vec_id"))).select(
+    once = both.filter(is_query(F.col("vec_id"))).groupBy("vec_id").agg(F.min(F.struct("d", "embedding", "blocks", "query_blocks")).alias("r")).select("vec_id", "r.*")
+    asked = once.select(
         F.col("d").alias("of_d"), F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), spread("query_blocks").alias("of_q"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("of_b")
     )
     found = asked.groupBy("of_d", "of_b", "of_q").cogroup(dealt.groupBy("d", "b", "q")).applyInArrow(_search(k, projections), "query_id long, vec_id long, score double")
