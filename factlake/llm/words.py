@@ -49,12 +49,12 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES):
         a = min(b, n)
 
 
-def split(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends (in bytes of ``buf``) and text numbers of all words, in order."""
+def split(buf: np.ndarray, offsets: np.ndarray, apart: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends (in bytes of ``buf``) and text numbers of all words, in order; ``apart`` says which bytes are in no word."""
     if not len(buf):
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~_SPACE[buf]
+    word = ~apart[buf]
     cut = np.zeros(len(buf) + 1, dtype=bool)  # a text begins here
     cut[offsets[:-1]] = True
     before = np.zeros(len(buf), dtype=bool)
