@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, lexical, line_dedup, quality_classifier, quality_rules, warc
+from . import ann, bpe, lexical, line_dedup, prefix_trie, quality_classifier, quality_rules, warc
 from .packing import pack
 from .sharding import shard
 from .shared import new_path
@@ -88,7 +88,12 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations")).withColumnRenamed("ends", "ends_sha256")
+
+
 QUERIES = {
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical_search": op13_lexical_search,
     "op6_ann": op6_ann,
     "op4_quality_classifier": op4_quality_classifier,
@@ -109,6 +114,7 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND
   CASE WHEN n >= 1000 AND page_id <> r THEN r END AS refers_to FROM s""",
     "op1_quality_rules": quality_rules.sql(),
     "op2_line_dedup": line_dedup.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
     "op13_lexical_search": lexical.SQL,
     "op8_substring_dedup": """WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
   k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM w)),
