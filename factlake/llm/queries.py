@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, lexical, line_dedup, prefix_trie, quality_classifier, quality_rules, warc
+from . import ann, bpe, embedding_dups, lexical, line_dedup, prefix_trie, quality_classifier, quality_rules, warc
 from .packing import pack
 from .sharding import shard
 from .shared import new_path
@@ -92,7 +92,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations")).withColumnRenamed("ends", "ends_sha256")
 
 
+def op11_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op11_embedding_dups": op11_embedding_dups,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical_search": op13_lexical_search,
     "op6_ann": op6_ann,
@@ -114,6 +119,7 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND
   CASE WHEN n >= 1000 AND page_id <> r THEN r END AS refers_to FROM s""",
     "op1_quality_rules": quality_rules.sql(),
     "op2_line_dedup": line_dedup.SQL,
+    "op11_embedding_dups": embedding_dups.SQL,
     "op12_prefix_trie": prefix_trie.SQL,
     "op13_lexical_search": lexical.SQL,
     "op8_substring_dedup": """WITH w AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
