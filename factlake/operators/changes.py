@@ -115,9 +115,9 @@ def _all(conditions: Sequence[Column]) -> Column:
     return out
 
 
-def events_of(changes: DataFrame, observed_at: Column, revision: Column, policy_version: Column) -> DataFrame:
+def events_of(changes: DataFrame, observed_at: Column, revision: Column, policy_version: Column, window: Column | None = None) -> DataFrame:
     """One row for each typed event of ``changes`` (record_id, old, new; structs that also have content_hash, published_at
-    and source_modified_at)."""
+    and source_modified_at). ``window`` is when a change that a bootstrap has proven may have occurred."""
     each = changes.select("*", F.explode(event_types()).alias("event_type"))
     occurred = F.when(F.size("new.proof") > 0, None).when(F.col("event_type") == "disclosure", F.col("new.published_at")).otherwise(F.col("new.source_modified_at"))
     old_hash, new_hash = F.col("old.content_hash"), F.col("new.content_hash")
@@ -132,6 +132,7 @@ def events_of(changes: DataFrame, observed_at: Column, revision: Column, policy_
         occurred.alias("source_occurred_at"),
         observed_at.alias("observed_at"),
         policy_version.alias("policy_version"),
+        *([] if window is None else [window.alias("source_occurrence_window")]),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions import predicates as P
-from ..operators import changes, costs, coverage, fragments, reconcile, replay, retention, shards
+from ..operators import changes, costs, coverage, fragments, physical, reconcile, replay, retention, shards
 from ..sources import snapshots
 from ..streaming import streams
 
@@ -203,6 +203,23 @@ def fragment_roundtrip(spark, sf_dir):
     return back.join(parents.select("doc_id", "total_parts"), "doc_id").select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("bytes"), "total_parts")
 
 
+@query("SELECT doc_id, sha256(text) AS sha256, octet_length(encode(text))::BIGINT AS bytes FROM documents")
+def physical_roundtrip(spark, sf_dir):
+    """Documents as records, long ones as stubs and parts, half of them packed, and put together again."""
+    docs = _t(spark, sf_dir, "documents").filter("doc_id is not null and text is not null").select("doc_id", "text")
+    source, native = F.when(F.col("doc_id") % 2 == 0, "cve").otherwise("documents"), F.col("doc_id").cast("string")
+    none, empty, day = F.lit(None).cast("string"), F.array().cast("array<string>"), F.lit("2024-01-01T00:00:00Z")
+    fields = {
+        "schema_version": F.lit("1.0"), "record_id": F.concat(source, F.lit("/"), native), "source_id": source, "native_id": native, "kind": F.lit("advisory"), "status": F.lit("active"), "published_at": none,
+        "source_modified_at": none, "first_seen_at": day, "content_hash": F.sha2("text", 256), "title": F.col("text"), "aliases": empty, "affected": empty, "references": empty, "provenance": empty,
+    }
+    line = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
+    lines = physical.physical(docs.select(fields["record_id"].alias("record_id"), H.canonical_json(line).alias("line")))
+    back = physical.logical(lines.select("record_id", "line"))
+    text = F.get_json_object("line", "$.title")
+    return back.select(F.get_json_object("line", "$.native_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("sha256"), F.octet_length(text).cast("long").alias("bytes"))
+
+
 @query("""WITH c AS (SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id) AS total FROM (SELECT DISTINCT conv_id, turn FROM conversations)),
   k AS (SELECT * FROM c WHERE (conv_id + turn) % 5 <> 0), dup AS (SELECT * FROM k UNION ALL SELECT * FROM k WHERE conv_id % 7 = 0 AND turn = 1),
   s AS (SELECT conv_id, count(*) AS n, count(DISTINCT turn) AS d, min(turn) AS lo, max(turn) AS hi FROM dup GROUP BY conv_id),

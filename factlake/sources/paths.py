@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
+def uri(root: str) -> str:
+    """A folder's URI, with its spaces encoded."""
+    return root.replace(" ", "%20")
+
+
+def decoded(path: Column) -> Column:
+    """A file's path as it is named, from the URI that Spark gives."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def below(path: Column, root: str) -> Column:
     """A file's path below the root, either of which may be given with or without a scheme."""
     base = root.rstrip("/") + "/"

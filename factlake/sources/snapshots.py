@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import canonical_json, source_partition
-from ..operators import changes, replay, shards
-from .paths import below
+from ..operators import changes, physical, replay, shards
+from .paths import below, decoded, exists, uri
 
 RECORD_SHARD_BYTES, SHARD_BYTES, MOST_DELTAS = 65536, 524288, 168
 FORMAT = "checkpoint-delta-v1"
@@ -70,11 +70,20 @@ def manifest_problems(manifest: dict) -> list[str]:
     return sorted(set(found))
 
 
-def shard_problems(spark: SparkSession, root: str, declared: DataFrame) -> DataFrame:
-    """Path and reason of shards that are missing, or whose bytes, lines or digest differ from the manifest's."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").load(root)
+def _folder(path: str) -> str:
+    """The folder of a checkpoint's or delta's shards of one kind; of a snapshot without storage, of its records or events."""
+    parts = path.split("/")
+    return "/".join(parts[: 3 if parts[0] in ("checkpoints", "deltas") else 1])
+
+
+def shard_problems(spark: SparkSession, root: str, declared: DataFrame, folders: list[str] | None = None) -> DataFrame:
+    """Path and reason of shards that are missing, or whose bytes, lines or digest differ from the manifest's. With ``folders``
+    those alone are looked at: what no manifest names any more is not read."""
+    paths = [root] if folders is None else [f"{root}/{f}" for f in folders if exists(spark, f"{root}/{f}")]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
+    files = reader.load(paths) if paths else spark.createDataFrame([], "path string, content binary")
     lines = F.length(F.regexp_replace(F.decode("content", "ISO-8859-1"), "[^\\n]", ""))
-    present = files.select(below(F.col("path"), root).alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    present = files.select(below(decoded(F.col("path")), root).alias("path"), lines.cast("long").alias("count"), F.octet_length("content").cast("long").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     return shards.inventory_check(declared.select("path", "count", "bytes", "sha256"), present, "path", ["bytes", "sha256", "count"])
 
 
@@ -83,16 +92,29 @@ PLACE = "path string, shard int, delta_seq int, operation string"
 
 def _log(spark: SparkSession, root: str, places: list[tuple]) -> DataFrame:
     """Lines of shards (line, shard, delta_seq, operation), for each place (path, shard, delta_seq, operation). The folders of
-    the checkpoint and the deltas are read, not a list of files; files that no place names drop out in the join."""
+    their kind in the checkpoint and the deltas are read, not a list of files; files that no place names drop out in the join."""
     placed = spark.createDataFrame(places, PLACE)
-    folders = sorted({"/".join(p[0].split("/")[:2]) if p[0].startswith(("checkpoints/", "deltas/")) else "" for p in places})
+    folders = sorted({_folder(p[0]) for p in places})
     if not places:
         return placed.select(F.col("path").alias("line"), "shard", "delta_seq", "operation")
-    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text([root] if "" in folders else [f"{root}/{f}" for f in folders])
-    named = read.select(F.col("value").alias("line"), below(F.col("_metadata.file_path"), root).alias("path"))
+    read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text([f"{root}/{f}" for f in folders])
+    named = read.select(F.col("value").alias("line"), below(decoded(F.col("_metadata.file_path")), root).alias("path"))
     return named.join(placed, "path").select("line", "shard", "delta_seq", "operation")
 
 
+def _records(log: DataFrame) -> DataFrame:
+    """A log's logical records: record_id, line, shard, delta_seq, operation. Records that were split are put together within their
+    checkpoint or delta; what shows no sign of it is passed on unread. A first look, which stops at the first of them, says whether
+    there are any."""
+    apart = (F.col("operation") != "delete") & (F.col("line").contains('"continuation"') | F.col("line").contains('"record_encoding"'))
+    ident = F.get_json_object("line", "$.record_id").alias("record_id")
+    if log.filter(apart).isEmpty():
+        return log.select(ident, "line", "shard", "delta_seq", "operation")
+    whole = physical.logical(log.filter(apart).select(ident, "line", "delta_seq"), "delta_seq")
+    whole = whole.select("record_id", "line", F.lit(-1).alias("shard"), F.col("place").cast("int").alias("delta_seq"), F.lit("upsert").alias("operation"))
+    return log.filter(~apart).select(ident, "line", "shard", "delta_seq", "operation").unionByName(whole)
+
+
 def read_version(spark: SparkSession, root: str, upto: str | None = None, verify: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records (record_id, line), events (event_id, observed_at, line)) of a snapshot, after all deltas or those up to a run.
     A manifest or shard that does not verify fails the read."""
@@ -101,7 +123,8 @@ def read_version(spark: SparkSession, root: str, upto: str | None = None, verify
         raise ValueError("; ".join(problems))
     declared = described(spark, manifest)
     if verify:
-        bad = shard_problems(spark, root, declared).filter("reason <> 'undeclared'").orderBy("path").limit(3).collect()
+        folders = sorted({_folder(s["path"]) for s in manifest["shards"]})
+        bad = shard_problems(spark, root, declared, folders).filter("reason <> 'undeclared'").orderBy("path").limit(3).collect()
         if bad:
             raise ValueError("; ".join(f"{r.path}: {r.reason}" for r in bad))
     storage = manifest.get("storage")
@@ -118,7 +141,7 @@ def read_version(spark: SparkSession, root: str, upto: str | None = None, verify
         return _log(spark, root, [(p, i, n, kinds[p][1]) for i, (n, p) in enumerate(of(kind))])
 
     field = lambda name: F.get_json_object("line", f"$.{name}")
-    records = log("records").withColumn("record_id", field("record_id")).withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
+    records = _records(log("records")).withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
     state = replay.replay(records, "record_id", ["delta_seq", "op_rank", "shard"], F.col("operation") == "delete").select("record_id", "line")
     events = replay.last_rows(log("events").withColumn("event_id", field("event_id")), "event_id", ["delta_seq", "shard"]).select("event_id", field("observed_at").alias("observed_at"), "line")
     if storage:
@@ -150,7 +173,7 @@ def read_changes(spark: SparkSession, root: str, base: dict) -> tuple[str, DataF
     if a and b and replay.is_suffix(a["deltas"], b["deltas"], a["checkpoint"] == b["checkpoint"]):
         kinds = {s["path"]: (s["kind"], s["operation"]) for s in now["shards"]}
         paths = [(i, p) for i, d in enumerate(b["deltas"][len(a["deltas"]) :], 1) for p in d["shards"] if kinds[p][0] == "records"]
-        log = _log(spark, root, [(p, k, i, kinds[p][1]) for k, (i, p) in enumerate(paths)]).withColumn("record_id", F.get_json_object("line", "$.record_id"))
+        log = _records(_log(spark, root, [(p, k, i, kinds[p][1]) for k, (i, p) in enumerate(paths)]))
         log = log.withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
         found = replay.changes(log, "record_id", ["delta_seq", "op_rank", "shard"], F.col("operation") == "delete")
         return "incremental", found.select("record_id", "op", "line")
@@ -158,6 +181,11 @@ def read_changes(spark: SparkSession, root: str, base: dict) -> tuple[str, DataF
     return "full", state.select("record_id", F.lit("upsert").alias("op"), "line")
 
 
+def _physical(rows: DataFrame) -> DataFrame:
+    """``rows`` (record_id, line, ...) as physical lines; nothing is planned for long ones where there are none."""
+    return rows if rows.filter(~physical.passes(F.col("line"))).isEmpty() else physical.physical(rows)
+
+
 def _write_shards(rows: DataFrame, part: list[str], key: str, root: str, folder: str, limit: int) -> list[dict]:
     """Writes canonical lines as one file for each shard; returns the descriptors. Files are put in place by a Spark job over
     shards, whose size is bounded; descriptors are a list of shards."""
@@ -173,7 +201,7 @@ def _write_shards(rows: DataFrame, part: list[str], key: str, root: str, folder:
 
         import pandas as pd
 
-        files, base = fs.FileSystem.from_uri(root)
+        files, base = fs.FileSystem.from_uri(uri(root))
         for part_ in batches:
             out = []
             for path, body, count in zip(part_["path"], part_["body"], part_["count"], strict=True):
@@ -201,7 +229,7 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
     JSON). The manifest comes last; a run that breaks off leaves the old version as it was, and so does one with an id that was used."""
     from pyarrow import fs
 
-    files, base = fs.FileSystem.from_uri(root)
+    files, base = fs.FileSystem.from_uri(uri(root))
     old = read_manifest(spark, root) if files.get_file_info(f"{base}/manifest.json").type != fs.FileType.NotFound else None
     checkpoint = force_checkpoint or not old or not old.get("storage") or len(old["storage"]["deltas"]) >= MOST_DELTAS
     rows = records.select("record_id", source_partition(F.col("source_id")).alias("source"), canonical_json(F.col("line")).alias("line"))
@@ -214,7 +242,7 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
             raise ValueError("two checkpoints have one id")
     kind = lambda found, k, op: [{"path": d["path"], "kind": k, "operation": op, "count": d["count"], "bytes": d["bytes"], "sha256": d["sha256"]} for d in found]
     if checkpoint:
-        made = kind(_write_shards(rows, ["source"], "record_id", root, f"checkpoints/{ident}/records", RECORD_SHARD_BYTES), "records", "snapshot")
+        made = kind(_write_shards(_physical(rows), ["source"], "record_id", root, f"checkpoints/{ident}/records", RECORD_SHARD_BYTES), "records", "snapshot")
         made += kind(_write_shards(logged, ["day"], "event_id", root, f"checkpoints/{ident}/events", SHARD_BYTES), "events", "snapshot")
         manifest = {"schema_version": "1.0", "created_at": now, "shards": made, "storage": {"format": FORMAT, "checkpoint": {"id": ident, "created_at": now, "shards": [d["path"] for d in made]}, "deltas": []}}
     else:
@@ -222,7 +250,7 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
         changed = changes.upserts(before, rows, "record_id", "line")
         gone = changes.deletes(before, rows, "record_id").select("record_id", F.to_json(F.struct("record_id")).alias("line"))
         new = logged.join(before_events.select("event_id"), "event_id", "left_anti")
-        made = kind(_write_shards(changed, ["source"], "record_id", root, f"deltas/{run_id}/records/upserts", RECORD_SHARD_BYTES), "records", "upsert")
+        made = kind(_write_shards(_physical(changed), ["source"], "record_id", root, f"deltas/{run_id}/records/upserts", RECORD_SHARD_BYTES), "records", "upsert")
         made += kind(_write_shards(gone, [], "record_id", root, f"deltas/{run_id}/records/deletes", RECORD_SHARD_BYTES), "records", "delete")
         made += kind(_write_shards(new, ["day"], "event_id", root, f"deltas/{run_id}/events", SHARD_BYTES), "events", "append")
         if not made:

@@ -6,7 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from factlake.plans.queries import QUERIES, SQL
+from factlake.plans import ingest_queries, queries
+
+QUERIES, SQL = queries.QUERIES | ingest_queries.QUERIES, queries.SQL | ingest_queries.SQL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import tempfile
 
 import pytest
@@ -160,3 +161,39 @@ def test_shards_are_found_by_their_whole_path(spark):
         assert sorted((r.shard, json.loads(r.line)["v"]) for r in log.collect()) == [(0, 1), (1, 2)]
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def whole(k, v, **more):
+    return dict(schema_version="1.0", record_id=k, source_id="feed", native_id=k, kind="advisory", status="active", title=v, aliases=[], published_at=None, source_modified_at=None, first_seen_at="2026-01-01T00:00:00Z", content_hash="a" * 64, affected=[], references=[], provenance=[]) | more
+
+
+def test_long_records_are_stored_in_parts(spark):
+    rng, root = random.Random(2), "file://" + tempfile.mkdtemp(prefix="spark- ", dir="/tmp") + "/a b"  # with spaces
+    text = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    first = {"f/1": text(90000), "f/2": "short", "f/3": text(20000)}
+    second = first | {"f/2": text(50000), "f/3": "short"}
+    kept = []
+    for day, rows in enumerate((first, second, {"f/1": first["f/1"]}), 1):
+        frame = spark.createDataFrame([(k, "feed", json.dumps(whole(k, v))) for k, v in rows.items()], "record_id string, source_id string, line string")
+        kept.append(S.write_version(spark, root, frame, events(spark, []), now=f"2026-09-1{day}T00:00:00Z", run_id=f"r{day}", event_start_at="2026-09-05T00:00:00Z"))
+        got = S.read_version(spark, root)[0].collect()
+        assert {r.record_id: json.loads(r.line) for r in got} == {k: whole(k, v) for k, v in rows.items()}
+    assert all(s["bytes"] <= S.RECORD_SHARD_BYTES for s in kept[-1]["shards"])
+    mode, found = S.read_changes(spark, root, kept[0])
+    assert mode == "incremental" and {(r.record_id, r.op) for r in found.collect()} == {("f/2", "delete"), ("f/3", "delete")}
+
+
+def test_only_what_the_manifest_names_is_read(spark):
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    for day in (1, 2):
+        S.write_version(spark, "file://" + root, lines(spark, [("cve/a", day)]), events(spark, [("e1", "2026-09-09T00:00:00Z")]), now=f"2026-09-1{day}T00:00:00Z", run_id=f"r{day}", event_start_at="2026-09-05T00:00:00Z", force_checkpoint=True)
+    old = [os.path.join(d, f) for d, _, names in os.walk(f"{root}/checkpoints/20260911-r1") for f in names if f.endswith(".jsonl")]
+    assert old
+    for f in old:
+        os.chmod(f, 0o644)
+        with open(f, "w") as out:
+            out.write("not a line of the format")
+    records, logged = S.read_version(spark, "file://" + root)
+    assert state(records) == {"cve/a": 2} and logged.count() == 1
+    plans = [df._jdf.queryExecution().toString() for df in (records, logged)]
+    assert all("20260911-r1" not in p for p in plans) and "/events" not in plans[0].split("== Physical Plan ==")[1] and "/records" not in plans[1].split("== Physical Plan ==")[1]
