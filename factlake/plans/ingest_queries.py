@@ -80,7 +80,7 @@ def _step(n: int) -> str:
       CASE WHEN o.pri <> i.pri THEN 'affected_corrected' END, CASE WHEN o.total <> i.total THEN 'score_changed' END], lambda x: x IS NOT NULL) END AS types
     FROM p{n} o FULL JOIN (SELECT * FROM f WHERE b = {n} AND NOT bad) i ON o.c = i.c),
   a{n} AS (SELECT c, CASE WHEN taken THEN nst ELSE ost END AS st, CASE WHEN taken THEN npri ELSE opri END AS pri, CASE WHEN taken THEN nt ELSE ot END AS total, CASE WHEN taken THEN npub ELSE opub END AS pub,
-    CASE WHEN taken THEN nh ELSE oh END AS h, CASE WHEN len(types) > 0 THEN '{now}' ELSE ow END AS w, oh, types, {inventory} AND oh IS NOT NULL AND c NOT IN (SELECT c FROM f WHERE b = {n} AND pri NOT LIKE '5%') AND (CASE WHEN taken THEN nst ELSE ost END) <> 'source_deleted' AS gone FROM j{n}),
+    CASE WHEN taken THEN nh ELSE oh END AS h, CASE WHEN len(types) > 0 THEN '{now}' ELSE ow END AS w, oh, types, {inventory} AND oh IS NOT NULL AND c NOT IN (SELECT c FROM o WHERE b = {n} AND pri NOT LIKE '5%') AND (CASE WHEN taken THEN nst ELSE ost END) <> 'source_deleted' AS gone FROM j{n}),
   s{n} AS (SELECT c, CASE WHEN gone THEN 'source_deleted' ELSE st END AS st, pri, total, pub, CASE WHEN gone THEN {_hash("'source_deleted'")} ELSE h END AS h, CASE WHEN gone THEN '{now}' ELSE w END AS w FROM a{n}),
   e{n} AS (SELECT c, unnest(types) AS t, h, oh, '{now}' AS w FROM a{n} UNION ALL SELECT c, 'source_deleted', {_hash("'source_deleted'")}, h, '{now}' FROM a{n} WHERE gone)"""
 
