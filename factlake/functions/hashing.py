@@ -134,3 +134,8 @@ def aliases_in(text: Column) -> Column:
 def quoted_path(path: Column) -> Column:
     """A path with each of its parts percent-encoded."""
     return F.array_join(F.transform(F.split(path, "/"), lambda x: F.replace(F.url_encode(x), F.lit("+"), F.lit("%20"))), "/")
+
+
+def truncated(text: Column, n: int) -> Column:
+    """The first n characters of a diagnostic text."""
+    return F.left(text, F.lit(n))

@@ -38,9 +38,9 @@ def host(url: Column) -> Column:
 
 
 def public_url(url: Column) -> Column:
-    """An http or https URL with a host and without credentials."""
-    named = F.regexp_replace(authority(url), ":[0-9]*$", "") != ""
-    return url.isNotNull() & url.rlike("(?i)^https?://") & named & ~authority(url).contains("@")
+    """An http or https URL with a host and without credentials; an empty user before the host is none."""
+    user = F.regexp_extract(authority(url), "^(.*)@", 1)
+    return url.isNotNull() & url.rlike("(?i)^https?://") & (host(url) != "") & user.isin("", ":")
 
 
 @F.pandas_udf(T.StringType())

@@ -305,3 +305,13 @@ def test_baseline_and_active_ids(spark):
     assert sorted((r.k, r.at, r.v or "") for r in got) == [("a", 3, "y"), ("c", 4, "")]
     records = spark.createDataFrame([("active", ["x", "y"]), ("active", ["y"]), ("withdrawn", ["z"]), ("active", []), ("active", None)], "status string, aliases array<string>")
     assert sorted(r.alias for r in reconcile.active_ids(records).collect()) == ["x", "y"]
+
+
+def test_public_urls_and_truncation(spark):
+    from factlake.functions.hashing import truncated
+    from factlake.functions.predicates import public_url
+
+    cases = {"https://a.example/x": True, "https://@host/": True, "https://:@host/": True, "http://user@host/": False, "https://:secret@host/": False, "https:///x": False, "https://@/": False, "ftp://a/": False, "https://:80/": False, "HTTPS://a": True}
+    got = {r.u: r.ok for r in spark.createDataFrame([(u,) for u in cases], "u string").select("u", public_url(F.col("u")).alias("ok")).collect()}
+    assert got == cases
+    assert spark.createDataFrame([("éabc",), (None,)], "t string").select(truncated(F.col("t"), 2)).collect() == [("éa",), (None,)]
