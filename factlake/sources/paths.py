@@ -23,6 +23,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
 
 
+def _opened(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, sorted; none if there is no such folder."""
+    system, found = _opened(spark, folder)
+    return sorted(x.getPath().getName() for x in system.listStatus(found)) if system.exists(found) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all in it, if it is there."""
+    system, found = _opened(spark, path)
+    system.delete(found, True)
+
+
 def below(path: Column, root: str) -> Column:
     """A file's path below the root, either of which may be given with or without a scheme."""
     base = root.rstrip("/") + "/"

@@ -7,6 +7,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -16,10 +17,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.replay import last_rows
+from .state import Buckets
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Keeps the state of the streams that are started within in RocksDB, as keyed operators need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before:
+            spark.conf.set(name, before)
+        else:
+            spark.conf.unset(name)
+
+
 def folder(spark: SparkSession, what: str) -> str:
     """A new folder under the cluster's shared checkpoint folder; a local one only where none is named, on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -53,23 +70,19 @@ def finished(stream: DataFrame, where: str, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema.add("batch", "long")).parquet(out)
 
 
-def replayed(spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str], columns: list[str], files_per_batch: int | None = None, where: str | None = None) -> DataFrame:
-    """The last row of each key of a streamed log: each batch is folded into the state that the batch before has written. A
-    batch that is run again reads what the one before it has left and overwrites its own state."""
+def replayed(spark: SparkSession, path: str, schema: T.StructType, key: str, order: list[str], columns: list[str], files_per_batch: int | None = None, where: str | None = None, buckets: int = 64) -> DataFrame:
+    """The last row of each key of a streamed log: each batch is folded into the buckets of the state that it has keys of. A batch
+    that is run again reads what the one before it has left and overwrites its own state."""
     where = where or folder(spark, "replay")
+    state = Buckets(spark, f"{where}/state", T.StructType([schema[c] for c in columns]), key, buckets)
 
     def fold(batch: DataFrame, number: int) -> None:
-        rows = batch.select(*columns)
-        if number:
-            rows = spark.read.parquet(f"{where}/state/{number - 1}").select(*columns).unionByName(rows)
-        last_rows(rows, key, order).write.mode("overwrite").parquet(f"{where}/state/{number}")
+        state.fold(batch.select(*columns), number, lambda rows: last_rows(rows, key, order))
 
     run = source(spark, path, schema, files_per_batch).writeStream.option("checkpointLocation", f"{where}/progress").trigger(availableNow=True).foreachBatch(fold).start()
     run.awaitTermination()
     done = finished_batches(spark, where)
-    if not done:  # a source without files has no batch
-        return spark.createDataFrame([], T.StructType([schema[c] for c in columns]))
-    return spark.read.parquet(f"{where}/state/{done[-1]}")
+    return state.read(done[-1]) if done else spark.createDataFrame([], state.schema)  # a source without files has no batch
 
 
 def finished_batches(spark: SparkSession, where: str) -> list[int]:
@@ -104,25 +117,18 @@ class _Changes(StatefulProcessor):
 
 def state_changes(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None, where: str | None = None) -> DataFrame:
     """Changes of event type of each user (user_id, event_id, event_type), by a stateful operator."""
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
+    with rocksdb(spark):
         rows = source(spark, path, schema, files_per_batch).select("user_id", "event_id", "ts", "event_type")
         found = rows.groupBy("user_id").transformWithStateInPandas(_Changes(), "user_id long, event_id long, event_type string", "append", "none")
         return finished(found, where or folder(spark, "changes"))
-    finally:
-        if before:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-        else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
 
 
-def daily_counts(spark: SparkSession, path: str, schema: T.StructType, late: str = "48 hours") -> DataFrame:
+def daily_counts(spark: SparkSession, path: str, schema: T.StructType, late: str = "48 hours", where: str | None = None) -> DataFrame:
     """Events of each UTC day and type; late ones count for two days. In update mode the last count of a day is the whole."""
     rows = source(spark, path, schema).select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
     once = rows.withWatermark("ts", late).dropDuplicates(["event_id", "ts"])
     counts = once.groupBy(F.window("ts", "1 day"), "event_type").agg(F.count(F.lit(1)).alias("n_events"))
-    found = finished(counts.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n_events"), folder(spark, "daily"), "update")
+    found = finished(counts.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n_events"), where or folder(spark, "daily"), "update")
     return found.groupBy("day", "event_type").agg(F.max_by("n_events", "batch").alias("n_events"))
 
 
