@@ -21,8 +21,9 @@ from ..functions.schemas import with_fields
 from ..operators.changes import LOST, events_of
 from ..operators.ingest import compared
 from ..operators.retention import protected_ids
+from ..sources import paths
 from .state import Buckets
-from .streams import finished_batches, folder, rocksdb, source
+from .streams import folder, rocksdb, source
 
 DAY_MS = 86_400_000
 #: What a record's state has: its hash, the hash that it would have when retention removes it, what is compared (JSON), the digest of
@@ -123,8 +124,10 @@ def record_events(spark: SparkSession, path: str, schema: T.StructType, *, reten
     def write(batch: DataFrame, number: int) -> None:
         moved = batch.persist()
         try:
+            if moved.isEmpty():
+                return
             _fold_exploited(exploited, moved, number)
-            held = parked.read(parked.before(number))
+            held = parked.read(number - 1)
             gone = _fold_parked(parked, held, exploited.read(number), moved, number)
             new = moved.filter("not expired")
             back = held.select("record_id", F.col("old").alias("parked"), F.col("old_hash").alias("parked_hash"))
@@ -140,8 +143,9 @@ def record_events(spark: SparkSession, path: str, schema: T.StructType, *, reten
         rows = prepared(source(spark, path, schema, files_per_batch).withWatermark("at", late))
         found = rows.groupBy("record_id").transformWithStateInPandas(_Records(retention_ms), MOVED, "append", "eventtime")
         found.writeStream.option("checkpointLocation", f"{where}/progress").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    done = finished_batches(spark, where)
-    return spark.read.schema(EVENTS).option("recursiveFileLookup", "true").parquet(f"{where}/out") if done else spark.createDataFrame([], EVENTS)
+    if not paths.exists(spark, f"{where}/out"):
+        return spark.createDataFrame([], EVENTS)
+    return spark.read.schema(EVENTS).option("recursiveFileLookup", "true").parquet(f"{where}/out")
 
 
 EVENTS = "schema_version string, event_id string, record_id string, event_type string, previous_hash string, content_hash string, source_revision string, source_occurred_at string, observed_at string, policy_version string"

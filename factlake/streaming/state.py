@@ -50,15 +50,17 @@ class Buckets:
         return max((b for b in self.batches() if b < number), default=None)
 
     def read(self, number: int | None) -> DataFrame:
-        """The table after a batch; empty before the first (None)."""
-        return self._rows(self.manifest(number))
+        """The table after a batch, of which only those that touched it have a manifest; empty before the first (None)."""
+        return self._rows(self.manifest(None if number is None else self.before(number + 1)))
 
     def fold(self, batch: DataFrame, number: int, folded: Callable[[DataFrame], DataFrame], joined: Callable[[DataFrame, DataFrame], DataFrame] = DataFrame.unionByName) -> None:
         """Replaces the buckets that ``batch`` has keys of by ``folded`` of what ``joined`` makes of the rows there and the batch.
-        Buckets that it has no key of are neither read nor written."""
+        Buckets that it has no key of are neither read nor written; a batch without rows leaves all as it is."""
+        touched = {r[0] for r in batch.select(self.bucket()).distinct().collect()}
+        if not touched:
+            return
         old = self.before(number)
         held = self.manifest(old)
-        touched = {r[0] for r in batch.select(self.bucket()).distinct().collect()}
         rows = folded(joined(self._rows({k: b for k, b in held.items() if k in touched}), batch))
         rows.select(*self.schema.names).withColumn(BUCKET, self.bucket()).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.root}/rows/{number}")
         written = [int(x.partition("=")[2]) for x in paths.names(self.spark, f"{self.root}/rows/{number}") if x.startswith(f"{BUCKET}=")]

@@ -6,9 +6,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from factlake.plans import ingest_queries, queries
+from factlake.plans import ingest_queries, queries, stream_queries
 
-QUERIES, SQL = queries.QUERIES | ingest_queries.QUERIES, queries.SQL | ingest_queries.SQL
+QUERIES, SQL = queries.QUERIES | ingest_queries.QUERIES | stream_queries.QUERIES, queries.SQL | ingest_queries.SQL | stream_queries.SQL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
