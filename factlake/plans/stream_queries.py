@@ -64,7 +64,9 @@ SQL = {
     UNION ALL SELECT c, CASE WHEN kev THEN 'kev_added' ELSE 'disclosure' END, NULL, h, '{NOW[1]}' FROM b WHERE c NOT IN (SELECT c FROM a)
     UNION ALL SELECT c, unnest(list_filter([CASE WHEN ost <> st THEN CASE WHEN st = 'withdrawn' THEN 'withdrawn' ELSE 'disclosure' END END, CASE WHEN okev <> kev THEN CASE WHEN kev THEN 'kev_added' ELSE 'kev_removed' END END,
       CASE WHEN opri <> pri THEN 'affected_corrected' END], lambda x: x IS NOT NULL)), oh, h, '{NOW[1]}' FROM (SELECT b.*, a.st AS ost, a.kev AS okev, a.pri AS opri, a.h AS oh FROM b JOIN a USING (c)) WHERE oh <> h
-    UNION ALL SELECT c, 'retention_removed', h, {_hash("a", "'retention_removed'")}, '{DUE}' FROM a WHERE NOT kev AND c NOT IN (SELECT c FROM b) AND alias NOT IN (SELECT alias FROM urgent))
+    UNION ALL SELECT c, 'retention_removed', h, {_hash("a", "'retention_removed'")}, '{DUE}' FROM a WHERE NOT kev AND c NOT IN (SELECT c FROM b) AND alias NOT IN (SELECT alias FROM urgent)
+    UNION ALL SELECT b.c, 'retention_removed', b.h, {_hash("b", "'retention_removed'")}, strftime(b.pub::TIMESTAMP + INTERVAL {int(RETENTION_DAYS * 24)} HOUR, '%Y-%m-%dT%H:%M:%SZ') FROM b JOIN a ON a.c = b.c
+      WHERE NOT b.kev AND a.st = b.st AND a.pri = b.pri AND a.h <> b.h AND b.pub::TIMESTAMP + INTERVAL {int(RETENTION_DAYS * 24)} HOUR < TIMESTAMP '{NOW[1][:10]}' AND b.alias NOT IN (SELECT alias FROM urgent))
 SELECT 'orders/' || c AS record_id, t AS event_type, oh AS previous_hash, nh AS content_hash, w AS observed_at FROM e""",
     "unit_progress": f"""SELECT unit, n_orders, key_sum, '1' AS version, CASE WHEN row_number() OVER (ORDER BY unit) <= {MONTHS_FIRST} THEN '0' ELSE '1' END AS batch, '1999-01-01' AS watermark
 FROM (SELECT strftime(o_orderdate, '%Y-%m') AS unit, count(*) AS n_orders, sum(o_orderkey)::BIGINT AS key_sum FROM orders GROUP BY 1)""",
