@@ -8,8 +8,9 @@ doc_id, or earlier in the same one) is removed, together with the lines before a
 place, as far as the chunks that end and begin there reach.
 
 1. Chunk hashes and places (no text) are counted, pre-aggregated before the shuffle; hashes found once drop out.
-2. The chunks left are cut out of their texts, with the hashes of the lines around them, and grouped by their bytes, so equality
-   does not rest on a hash; the first place of each stays. The others meet it by the SHA-256 of the bytes, and are extended.
+2. The chunks left are cut out of their texts, with 128 bits of the SHA-256 of each line around them, and grouped by their bytes, so
+   that a chunk's equality does not rest on a hash; the first place of each stays. The others meet it by the SHA-256 of the bytes
+   alone, and are extended by lines whose 128 bits agree.
 3. Texts lose the union of what is found. Texts are dealt out once, for both steps.
 
 Runs of repeated lines that hold no whole chunk are not found; ``repeats_removed`` finds them all.
@@ -76,6 +77,12 @@ def _chunks(text: Column, divisor: int) -> Column:
     return let(F.split(text, "\n"), of)
 
 
+def _digests(lines: Column) -> Column:
+    """The first 128 bits of each line's SHA-256, as two numbers in a row: they decide what goes, so no weaker hash will do."""
+    half = lambda d, at: F.conv(F.substring(d, at, 16), 16, -10).cast("long")
+    return F.flatten(F.transform(lines, lambda x: let(F.sha2(x.cast("binary"), 256), lambda d: F.array(half(d, 1), half(d, 17)))))
+
+
 def _joint(a: Column, b: Column) -> Column:
     """How many elements two arrays begin with in common."""
     n = F.least(F.size(a), F.size(b))
@@ -93,7 +100,7 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     candidates = chunks.join(often, "h").groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("start", "n", "low", "high"))).alias("candidates"))
 
     def around(lines: Column) -> Column:
-        part = lambda a, n: F.transform(F.slice(lines, a + 1, n), lambda x: F.xxhash64(x))
+        part = lambda a, n: _digests(F.slice(lines, a + 1, n))
         return F.transform(
             "candidates",
             lambda c: F.struct(
@@ -111,7 +118,8 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     place = F.struct("doc_id", "t", "start", "before", "after")
     firsts = bytes_of.groupBy("chunk").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c"), F.any_value("sha").alias("sha")).filter("c > 1").select("sha", "first")
     again = bytes_of.drop("chunk").join(firsts, "sha").filter(F.struct("doc_id", "t", "start") != F.struct("first.doc_id", "first.t", "first.start"))
-    more = again.select(*by, "start", "n", _joint(F.col("before"), F.col("first.before")).alias("up"), _joint(F.col("after"), F.col("first.after")).alias("down"))
+    joint = lambda side: F.floor(_joint(F.col(side), F.col(f"first.{side}")) / 2).cast("int")
+    more = again.select(*by, "start", "n", joint("before").alias("up"), joint("after").alias("down"))
     spans = more.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct((F.col("start") - F.col("up")).alias("start"), (F.col("start") + F.col("n") + F.col("down")).alias("end")))).alias("s"))
     out = docs.join(spans, by, "left").select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), _union("s").alias("removed"))
     return _without_removed(out)
