@@ -1,15 +1,15 @@
 """Snapshots on plain files: a manifest, a checkpoint's shards and immutable deltas of canonical JSON lines.
 
 Layout under a root: manifest.json, checkpoints/<id>/..., deltas/<run>/... Shards are read with an explicit schema and
-verified against the manifest's size, count and digest before any row is used; the manifest, a list of shards, is read by the
-driver, and is written last.
+verified against the manifest's size, count and digest before any row is used. A reader takes the manifest as a table: descriptors,
+deltas, sources and dependencies are frames, and only run ids and folders go to the driver. The manifest is written last.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import canonical_json, source_partition
@@ -20,60 +20,95 @@ RECORD_SHARD_BYTES, SHARD_BYTES, MOST_DELTAS = 65536, 524288, 168
 FORMAT = "checkpoint-delta-v1"
 ENVELOPE = "schema_version string, record_id string, source_id string, native_id string, kind string, aliases array<string>, status string, title string, published_at string, source_modified_at string, first_seen_at string, content_hash string"
 EVENT = "schema_version string, event_id string, record_id string, event_type string, previous_hash string, content_hash string, source_revision string, source_occurred_at string, observed_at string, policy_version string"
-SHARD = "path string, kind string, operation string, count long, bytes long, sha256 string"
+#: A manifest as columns. A source's state is open: its JSON text.
+MANIFEST = "created_at string, shards array<struct<path string, kind string, operation string, count long, bytes long, sha256 string>>, storage struct<format string, checkpoint struct<id string, created_at string, shards array<string>>, deltas array<struct<run_id string, created_at string, shards array<string>>>>, sources map<string, string>, dependencies array<struct<repository string, commit_sha string, manifest_sha256 string>>, retention struct<event_start_at string>"
+#: Lists of shards are sent to all tasks where the manifest, which holds them, has at most so many bytes.
+SMALL_MANIFEST = 8 << 20
 
 
 def read_manifest(spark: SparkSession, root: str) -> dict:
-    """The manifest as a dictionary: one file, a list of shards."""
+    """The manifest as a dictionary, for who writes the next one or keeps it as a base."""
     row = spark.read.option("wholetext", True).text(f"{root}/manifest.json").first()
     return json.loads(row.value)
 
 
-def described(spark: SparkSession, manifest: dict) -> DataFrame:
-    """Shards with their place in the log: delta_seq is 0 for the checkpoint, else the delta's number, null if unreferenced."""
-    storage = manifest.get("storage") or {"checkpoint": {"shards": [s["path"] for s in manifest["shards"]]}, "deltas": []}
-    seq = {p: i for i, d in enumerate(storage["deltas"], 1) for p in d["shards"]} | dict.fromkeys(storage["checkpoint"]["shards"], 0)
-    rows = [(s["path"], s["kind"], s.get("operation", "snapshot"), s["count"], s["bytes"], s["sha256"], seq.get(s["path"])) for s in manifest["shards"]]
-    return spark.createDataFrame(rows, SHARD + ", delta_seq int")
-
-
-def manifest_problems(manifest: dict) -> list[str]:
-    """What is wrong with a manifest's storage: a check of a list of shards, before anything is read."""
-    storage, found = manifest.get("storage"), []
-    if not storage:
-        return found
-    paths = [s["path"] for s in manifest["shards"]]
-    deltas, first = storage["deltas"], storage["checkpoint"]
-    referenced = [*first["shards"], *[p for d in deltas for p in d["shards"]]]
-    if len(set(paths)) < len(paths) or set(referenced) != set(paths):
-        found.append("shards listed and shards referenced differ")
-    if len(set(referenced)) < len(referenced):
-        found.append("a shard is referenced twice")
-    if len({d["run_id"] for d in deltas}) < len(deltas):
-        found.append("two deltas have one run id")
-    if any(not p.startswith(f"checkpoints/{first['id']}/") for p in first["shards"]):
-        found.append("a checkpoint shard lies outside its folder")
-    times = [first["created_at"], *[d["created_at"] for d in deltas]]
-    if times != sorted(times):
-        found.append("deltas go back in time")
-    if any(not p.startswith(f"deltas/{d['run_id']}/") for d in deltas for p in d["shards"]):
-        found.append("a delta shard lies outside its folder")
-    folder = {"upsert": "/records/upserts/", "delete": "/records/deletes/", "append": "/events/"}
-    for s in manifest["shards"]:
-        op, snapshot = s.get("operation"), s["path"] in first["shards"]
-        if {"", ".", ".."} & set(s["path"].split("/")):
-            found.append("a shard path with empty or dotted parts")
-        if snapshot != (op == "snapshot") or op not in (("snapshot", "append") if s["kind"] == "events" else ("snapshot", "upsert", "delete")):
-            found.append("a shard's operation doesn't fit its place")
-        elif op in folder and folder[op] not in s["path"]:
-            found.append("a shard's operation doesn't fit its path")
-    return sorted(set(found))
-
-
-def _folder(path: str) -> str:
-    """The folder of a checkpoint's or delta's shards of one kind; of a snapshot without storage, of its records or events."""
-    parts = path.split("/")
-    return "/".join(parts[: 3 if parts[0] in ("checkpoints", "deltas") else 1])
+def manifest_of(text: DataFrame) -> DataFrame:
+    """The text of a manifest (value) as one row of its columns, with its ``size`` in bytes. Text that is no JSON fails."""
+    return text.select(F.octet_length("value").alias("size"), F.from_json("value", MANIFEST, {"mode": "FAILFAST"}).alias("m")).select("size", "m.*")
+
+
+def manifest_at(spark: SparkSession, root: str) -> DataFrame:
+    return manifest_of(spark.read.option("wholetext", True).text(f"{root}/manifest.json"))
+
+
+def described(manifest: DataFrame) -> DataFrame:
+    """Shards (path, kind, operation, count, bytes, sha256) with their place in the log: delta_seq is 0 for the checkpoint, else the
+    delta's number, shard the place in its list; both are null if nothing refers to the shard."""
+    at = lambda path, n, i: F.struct(path.alias("path"), n.alias("delta_seq"), i.alias("shard"))
+    first = F.transform("storage.checkpoint.shards", lambda p, i: at(p, F.lit(0), i))
+    deltas = F.flatten(F.transform("storage.deltas", lambda d, k: F.transform(d["shards"], lambda p, i: at(p, k + 1, i))))
+    alone = F.transform("shards", lambda s, i: at(s["path"], F.lit(0), i))
+    places = manifest.select(F.inline(F.when(F.col("storage").isNull(), alone).otherwise(F.concat(first, deltas))))
+    return manifest.select(F.inline("shards")).withColumn("operation", F.coalesce("operation", F.lit("snapshot"))).join(places, "path", "left")
+
+
+def deltas(manifest: DataFrame) -> DataFrame:
+    """Deltas in order: delta_seq from 1, run_id, created_at, n_shards."""
+    each = manifest.select(F.posexplode("storage.deltas").alias("at", "d"))
+    return each.select((F.col("at") + 1).alias("delta_seq"), "d.run_id", "d.created_at", F.size("d.shards").alias("n_shards"))
+
+
+def sources(manifest: DataFrame) -> DataFrame:
+    """State of each source: source_id, status, revision, last_success_at and the whole of it as JSON text (state)."""
+    each = manifest.select(F.explode("sources").alias("source_id", "state"))
+    return each.select("source_id", *[F.get_json_object("state", f"$.{c}").alias(c) for c in ("status", "revision", "last_success_at")], "state")
+
+
+def dependencies(manifest: DataFrame) -> DataFrame:
+    """Snapshots that this one was made from: repository, commit_sha, manifest_sha256."""
+    return manifest.select(F.inline("dependencies"))
+
+
+def _problems() -> Column:
+    """What is wrong with a manifest's storage, as an array: set operations within its one row, before any shard is read."""
+    listed, first, later = F.col("shards"), F.col("storage.checkpoint"), F.col("storage.deltas")
+    paths = lambda a: F.transform(a, lambda s: s["path"])
+    repeats = lambda a: F.size(F.array_distinct(a)) < F.size(a)
+    differ = lambda a, b: (F.size(F.array_except(a, b)) > 0) | (F.size(F.array_except(b, a)) > 0)
+    below_ = lambda p, kind, ident: p.startswith(F.concat(F.lit(f"{kind}/"), ident, F.lit("/")))
+    some = lambda of: F.exists(listed, lambda s: F.coalesce(of(s), F.lit(True)))
+    referenced = F.concat(first["shards"], F.flatten(F.transform(later, lambda d: d["shards"])))
+    times = F.concat(F.array(first["created_at"]), F.transform(later, lambda d: d["created_at"]))
+    known = lambda s: F.when(s["kind"] == "events", s["operation"].isin("snapshot", "append")).otherwise(s["operation"].isin("snapshot", "upsert", "delete"))
+    folder = lambda s: F.when(s["operation"] == "upsert", "/records/upserts/").when(s["operation"] == "delete", "/records/deletes/").when(s["operation"] == "append", "/events/").otherwise("/")
+    reasons = {
+        "unknown storage format": F.col("storage.format") != FORMAT,
+        "shards listed and shards referenced differ": repeats(paths(listed)) | differ(paths(listed), referenced),
+        "a shard is referenced twice": repeats(referenced),
+        "two deltas have one run id": repeats(F.transform(later, lambda d: d["run_id"])),
+        "a checkpoint shard lies outside its folder": F.exists(first["shards"], lambda p: ~below_(p, "checkpoints", first["id"])),
+        "deltas go back in time": times != F.array_sort(times),
+        "a delta shard lies outside its folder": F.exists(later, lambda d: F.exists(d["shards"], lambda p: ~below_(p, "deltas", d["run_id"]))),
+        "a shard path with empty or dotted parts": some(lambda s: F.arrays_overlap(F.split(s["path"], "/"), F.array(F.lit(""), F.lit("."), F.lit("..")))),
+        "a shard's operation doesn't fit its place": some(lambda s: ~known(s)) | differ(paths(F.filter(listed, lambda s: s["operation"] == "snapshot")), first["shards"]),
+        "a shard's operation doesn't fit its path": some(lambda s: ~F.contains(s["path"], folder(s))),
+    }
+    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(True)), name) for name, c in reasons.items()]))
+    return F.when(F.col("storage").isNull(), F.array().cast("array<string>")).otherwise(F.array_sort(found))
+
+
+def manifest_problems(manifest: DataFrame) -> list[str]:
+    return manifest.select(_problems()).first()[0]
+
+
+def _head(manifest: DataFrame) -> Row:
+    """What the driver needs: problems, size, whether there is storage, when events start, the deltas' run ids and the folders of
+    shards by kind, of which there are a few a delta."""
+    part = lambda s: F.when(s["path"].rlike("^(checkpoints|deltas)/"), F.substring_index(s["path"], "/", 3)).otherwise(F.substring_index(s["path"], "/", 1))
+    folders = F.array_distinct(F.transform("shards", lambda s: F.struct(s["kind"].alias("kind"), part(s).alias("folder"))))
+    runs = F.coalesce(F.transform("storage.deltas", lambda d: d["run_id"]), F.array().cast("array<string>"))
+    stored = F.col("storage").isNotNull().alias("stored")
+    return manifest.select(_problems().alias("problems"), "size", stored, F.col("retention.event_start_at").alias("event_start_at"), runs.alias("runs"), F.array_sort(folders).alias("folders")).first()
 
 
 def shard_problems(spark: SparkSession, root: str, declared: DataFrame, folders: list[str] | None = None) -> DataFrame:
@@ -87,21 +122,25 @@ def shard_problems(spark: SparkSession, root: str, declared: DataFrame, folders:
     return shards.inventory_check(declared.select("path", "count", "bytes", "sha256"), present, "path", ["bytes", "sha256", "count"])
 
 
-PLACE = "path string, shard int, delta_seq int, operation string"
-
-
-def _log(spark: SparkSession, root: str, places: list[tuple]) -> DataFrame:
-    """Lines of shards (line, shard, delta_seq, operation), for each place (path, shard, delta_seq, operation). The folders of
-    their kind in the checkpoint and the deltas are read, not a list of files; files that no place names drop out in the join."""
-    placed = spark.createDataFrame(places, PLACE)
-    folders = sorted({_folder(p[0]) for p in places})
-    if not places:
-        return placed.select(F.col("path").alias("line"), "shard", "delta_seq", "operation")
+def _log(spark: SparkSession, root: str, folders: list[str], placed: DataFrame) -> DataFrame:
+    """Lines of the shards that ``placed`` (path, shard, delta_seq, operation) names, with their place. Folders of a kind are
+    read, not a list of files; files that no place names drop out in the join."""
+    if not folders:
+        return spark.createDataFrame([], "line string, shard int, delta_seq int, operation string")
     read = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text([f"{root}/{f}" for f in folders])
     named = read.select(F.col("value").alias("line"), below(decoded(F.col("_metadata.file_path")), root).alias("path"))
     return named.join(placed, "path").select("line", "shard", "delta_seq", "operation")
 
 
+def _logged(spark: SparkSession, root: str, manifest: DataFrame, head: Row, kind: str, after: int, upto: int) -> DataFrame:
+    """The log of one kind, from the deltas after one (-1: from the checkpoint) up to one."""
+    runs = set(head.runs[max(after, 0) : upto])
+    folders = [f.folder for f in head.folders if f.kind == kind and (f.folder.split("/")[1] in runs if f.folder.startswith("deltas/") else after < 0)]
+    placed = described(manifest).filter((F.col("kind") == kind) & (F.col("delta_seq") > after) & (F.col("delta_seq") <= upto))
+    placed = placed.select("path", "shard", "delta_seq", "operation")
+    return _log(spark, root, folders, F.broadcast(placed) if head.size <= SMALL_MANIFEST else placed)
+
+
 def _records(log: DataFrame) -> DataFrame:
     """A log's logical records: record_id, line, shard, delta_seq, operation. Records that were split are put together within their
     checkpoint or delta; what shows no sign of it is passed on unread. A first look, which stops at the first of them, says whether
@@ -118,34 +157,25 @@ def _records(log: DataFrame) -> DataFrame:
 def read_version(spark: SparkSession, root: str, upto: str | None = None, verify: bool = True) -> tuple[DataFrame, DataFrame]:
     """(records (record_id, line), events (event_id, observed_at, line)) of a snapshot, after all deltas or those up to a run.
     A manifest or shard that does not verify fails the read."""
-    manifest = read_manifest(spark, root)
-    if problems := manifest_problems(manifest):
-        raise ValueError("; ".join(problems))
-    declared = described(spark, manifest)
+    manifest = manifest_at(spark, root)
+    head = _head(manifest)
+    if head.problems:
+        raise ValueError("; ".join(head.problems))
     if verify:
-        folders = sorted({_folder(s["path"]) for s in manifest["shards"]})
-        bad = shard_problems(spark, root, declared, folders).filter("reason <> 'undeclared'").orderBy("path").limit(3).collect()
+        bad = shard_problems(spark, root, described(manifest), sorted({f.folder for f in head.folders})).filter("reason <> 'undeclared'").orderBy("path").limit(3).collect()
         if bad:
             raise ValueError("; ".join(f"{r.path}: {r.reason}" for r in bad))
-    storage = manifest.get("storage")
-    deltas = storage["deltas"] if storage else []
-    if upto is not None:
-        runs = [d["run_id"] for d in deltas]
-        deltas = deltas[: runs.index(upto) + 1]
-    kinds = {s["path"]: (s["kind"], s.get("operation", "snapshot")) for s in manifest["shards"]}
-    first = storage["checkpoint"]["shards"] if storage else list(kinds)
-    order = [(0, p) for p in first] + [(i, p) for i, d in enumerate(deltas, 1) for p in d["shards"]]
-    of = lambda kind: [(n, p) for n, p in order if kinds[p][0] == kind]
+    last = len(head.runs) if upto is None else head.runs.index(upto) + 1
 
     def log(kind: str) -> DataFrame:
-        return _log(spark, root, [(p, i, n, kinds[p][1]) for i, (n, p) in enumerate(of(kind))])
+        return _logged(spark, root, manifest, head, kind, -1, last)
 
     field = lambda name: F.get_json_object("line", f"$.{name}")
     records = _records(log("records")).withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
     state = replay.replay(records, "record_id", ["delta_seq", "op_rank", "shard"], F.col("operation") == "delete").select("record_id", "line")
     events = replay.last_rows(log("events").withColumn("event_id", field("event_id")), "event_id", ["delta_seq", "shard"]).select("event_id", field("observed_at").alias("observed_at"), "line")
-    if storage:
-        events = events.filter(F.col("observed_at").cast("timestamp") >= F.lit(manifest["retention"]["event_start_at"]).cast("timestamp"))
+    if head.stored:
+        events = events.filter(F.col("observed_at").cast("timestamp") >= F.lit(head.event_start_at).cast("timestamp"))
     return state, events
 
 
@@ -171,9 +201,8 @@ def read_changes(spark: SparkSession, root: str, base: dict) -> tuple[str, DataF
         return "unchanged", spark.createDataFrame([], "record_id string, op string, line string")
     a, b = base.get("storage"), now.get("storage")
     if a and b and replay.is_suffix(a["deltas"], b["deltas"], a["checkpoint"] == b["checkpoint"]):
-        kinds = {s["path"]: (s["kind"], s["operation"]) for s in now["shards"]}
-        paths = [(i, p) for i, d in enumerate(b["deltas"][len(a["deltas"]) :], 1) for p in d["shards"] if kinds[p][0] == "records"]
-        log = _records(_log(spark, root, [(p, k, i, kinds[p][1]) for k, (i, p) in enumerate(paths)]))
+        manifest = manifest_at(spark, root)
+        log = _records(_logged(spark, root, manifest, _head(manifest), "records", len(a["deltas"]), len(b["deltas"])))
         log = log.withColumn("op_rank", F.when(F.col("operation") == "delete", 0).otherwise(1))
         found = replay.changes(log, "record_id", ["delta_seq", "op_rank", "shard"], F.col("operation") == "delete")
         return "incremental", found.select("record_id", "op", "line")
@@ -223,10 +252,11 @@ def _write_shards(rows: DataFrame, part: list[str], key: str, root: str, folder:
     return [r.asDict() for r in done]
 
 
-def write_version(spark: SparkSession, root: str, records: DataFrame, events: DataFrame, *, now: str, run_id: str, event_start_at: str, force_checkpoint: bool = False) -> dict:
+def write_version(spark: SparkSession, root: str, records: DataFrame, events: DataFrame, *, now: str, run_id: str, event_start_at: str, force_checkpoint: bool = False, sources: dict[str, dict] | None = None, dependencies: list[dict] | None = None) -> dict:
     """Writes a version: a checkpoint where there is none, too many deltas, or if forced; else a delta of what differs from
     the version that is there. ``records`` has record_id, source_id and line, ``events`` event_id, observed_at and line (canonical
-    JSON). The manifest comes last; a run that breaks off leaves the old version as it was, and so does one with an id that was used."""
+    JSON). States of ``sources`` and the snapshots that this one depends on stay as they were where none are given; if they are all
+    that changed, the manifest alone is written. The manifest comes last; a run that breaks off leaves the old version as it was, and so does one with an id that was used."""
     from pyarrow import fs
 
     files, base = fs.FileSystem.from_uri(uri(root))
@@ -253,16 +283,20 @@ def write_version(spark: SparkSession, root: str, records: DataFrame, events: Da
         made = kind(_write_shards(_physical(changed), ["source"], "record_id", root, f"deltas/{run_id}/records/upserts", RECORD_SHARD_BYTES), "records", "upsert")
         made += kind(_write_shards(gone, [], "record_id", root, f"deltas/{run_id}/records/deletes", RECORD_SHARD_BYTES), "records", "delete")
         made += kind(_write_shards(new, ["day"], "event_id", root, f"deltas/{run_id}/events", SHARD_BYTES), "events", "append")
-        if not made:
+        if not made and sources in (None, old.get("sources")) and dependencies in (None, old.get("dependencies")):
             return old
         manifest = json.loads(json.dumps(old))
         manifest["created_at"] = now
         manifest["shards"] += made
-        manifest["storage"]["deltas"].append({"run_id": run_id, "created_at": now, "shards": sorted(d["path"] for d in made)})
+        if made:
+            manifest["storage"]["deltas"].append({"run_id": run_id, "created_at": now, "shards": sorted(d["path"] for d in made)})
     manifest["retention"] = {"event_start_at": event_start_at}
-    if problems := manifest_problems(manifest):
+    manifest["sources"] = (old or {}).get("sources", {}) if sources is None else sources
+    manifest["dependencies"] = (old or {}).get("dependencies", []) if dependencies is None else dependencies
+    text = json.dumps(manifest, ensure_ascii=False, sort_keys=True, separators=(",", ":")) + "\n"
+    if problems := manifest_problems(manifest_of(spark.createDataFrame([(text,)], "value string"))):
         raise ValueError("; ".join(problems))
-    data = (json.dumps(manifest, ensure_ascii=False, sort_keys=True, separators=(",", ":")) + "\n").encode()
+    data = text.encode()
     with files.open_output_stream(f"{base}/manifest.json.tmp") as f:
         f.write(data)
     files.move(f"{base}/manifest.json.tmp", f"{base}/manifest.json")

@@ -79,20 +79,24 @@ def test_damaged_shard_fails(spark):
         S.read_version(spark, "file://" + root)
 
 
-def test_manifest_integrity(versions):
+def test_manifest_integrity(spark, versions):
     _, kept = versions
     good = kept[2]
-    assert S.manifest_problems(good) == []
+    found = lambda m: S.manifest_problems(S.manifest_of(spark.createDataFrame([(json.dumps(m),)], "value string")))
+    assert found(good) == [] and found({"shards": good["shards"]}) == []
 
     def spoilt(change):
         m = json.loads(json.dumps(good))
         change(m)
-        return S.manifest_problems(m)
+        return found(m)
 
     assert "shards listed and shards referenced differ" in spoilt(lambda m: m["shards"].append(dict(m["shards"][0], path="checkpoints/x/extra.jsonl")))
     assert "two deltas have one run id" in spoilt(lambda m: m["storage"]["deltas"][1].update(run_id="r2"))
     assert "deltas go back in time" in spoilt(lambda m: m["storage"]["deltas"][1].update(created_at="2026-01-01T00:00:00Z"))
     assert "a shard's operation doesn't fit its place" in spoilt(lambda m: m["shards"][0].update(operation="upsert"))
+    assert "unknown storage format" in spoilt(lambda m: m["storage"].update(format="other"))
+    assert "a shard path with empty or dotted parts" in spoilt(lambda m: m["shards"][0].update(path="checkpoints/../x.jsonl"))
+    assert "a delta shard lies outside its folder" in spoilt(lambda m: m["storage"]["deltas"][0].update(run_id="other"))
     assert "a shard is referenced twice" in spoilt(lambda m: m["storage"]["deltas"][0]["shards"].append(m["storage"]["checkpoint"]["shards"][0]))
 
 
@@ -157,7 +161,8 @@ def test_shards_are_found_by_their_whole_path(spark):
         with open(os.path.join(root, path), "w") as f:
             f.write(json.dumps({"v": v}) + "\n")
     for base in (root, "file://" + root, "file:" + root + "/"):
-        log = S._log(spark, base, [("x.jsonl", 0, 0, "snapshot"), ("b/x.jsonl", 1, 0, "snapshot")])
+        placed = spark.createDataFrame([("x.jsonl", 0, 0, "snapshot"), ("b/x.jsonl", 1, 0, "snapshot")], "path string, shard int, delta_seq int, operation string")
+        log = S._log(spark, base, ["b", "x.jsonl"], placed)
         assert sorted((r.shard, json.loads(r.line)["v"]) for r in log.collect()) == [(0, 1), (1, 2)]
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -197,3 +202,35 @@ def test_only_what_the_manifest_names_is_read(spark):
     assert state(records) == {"cve/a": 2} and logged.count() == 1
     plans = [df._jdf.queryExecution().toString() for df in (records, logged)]
     assert all("20260911-r1" not in p for p in plans) and "/events" not in plans[0].split("== Physical Plan ==")[1] and "/records" not in plans[1].split("== Physical Plan ==")[1]
+
+
+def test_manifest_as_tables(spark):
+    root = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    dep = {"repository": "a/b", "commit_sha": "0" * 40, "manifest_sha256": "1" * 64}
+    ok = {"cve": {"status": "ok", "revision": "r", "coverage_gaps": [], "errors": [], "completed_watermark": {"at": 1}}}
+    write = lambda rows, i, **more: S.write_version(spark, root, lines(spark, rows), events(spark, []), now=f"2026-09-1{i}T00:00:00Z", run_id=f"r{i}", event_start_at="2026-09-05T00:00:00Z", **more)
+    write([("cve/a", 1)], 1, sources=ok, dependencies=[dep])
+    made = write([("cve/a", 2), ("cve/b", 1)], 2)
+    again = write([("cve/a", 2), ("cve/b", 1)], 3, sources={"cve": ok["cve"] | {"status": "partial"}})
+    assert made["sources"] == ok and again["storage"] == made["storage"] and again["created_at"] > made["created_at"]
+    m = S.manifest_at(spark, root)
+    (source,) = S.sources(m).collect()
+    assert (source.source_id, source.status, json.loads(source.state)["completed_watermark"]) == ("cve", "partial", {"at": 1})
+    assert [r.asDict() for r in S.dependencies(m).collect()] == [dep]
+    assert [(r.delta_seq, r.run_id, r.n_shards) for r in S.deltas(m).collect()] == [(1, "r2", 2)]  # the prefix of a hash names each
+    got = sorted((r.path.split("/")[0], r.delta_seq, r.shard, r.operation) for r in S.described(m).collect())
+    assert got == [("checkpoints", 0, 0, "snapshot"), ("deltas", 1, 0, "upsert"), ("deltas", 1, 1, "upsert")]
+    assert state(S.read_version(spark, root)[0]) == {"cve/a": 2, "cve/b": 1}
+
+
+def test_a_manifest_of_many_shards(spark):
+    """A hundred thousand descriptors: the driver gets one row of folders, the rest stays a table."""
+    paths = [f"checkpoints/c/records/s{i}/x.jsonl" for i in range(100_000)]
+    m = {"created_at": "2026-09-01T00:00:00Z", "shards": [{"path": p, "kind": "records", "operation": "snapshot", "count": 1, "bytes": 3, "sha256": "0" * 64} for p in paths], "storage": {"format": S.FORMAT, "checkpoint": {"id": "c", "created_at": "2026-09-01T00:00:00Z", "shards": paths}, "deltas": []}, "retention": {"event_start_at": "2026-09-01T00:00:00Z"}}
+    root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    with open(f"{root}/manifest.json", "w") as f:
+        json.dump(m, f)
+    head = S._head(S.manifest_at(spark, root))
+    assert (head.problems, head.runs, [tuple(f) for f in head.folders]) == ([], [], [("records", "checkpoints/c/records")]) and head.size > S.SMALL_MANIFEST
+    found = S.described(S.manifest_at(spark, root)).agg(F.count_distinct("path").alias("n"), F.max("shard").alias("last"), F.max("delta_seq").alias("d")).first()
+    assert tuple(found) == (100_000, 99_999, 0)
