@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 INTERVAL_SECONDS, GRACE_SECONDS, NEEDED_SECONDS = 900, 60, 86400
@@ -23,6 +23,36 @@ def thresholds(metrics: DataFrame, limits: dict[str, float]) -> DataFrame:
     return metrics.selectExpr(f"stack({len(limits)}, {pairs}) as (metric, observed, threshold)").withColumn("exceeded", F.col("observed") > F.col("threshold"))
 
 
+def measured(rows: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``rows`` and what is measured of them, as aggregates, while they are written: no second scan. Write the frame as it is,
+    without a shuffle after it, so that a task that is run again is counted once; the metrics are there after the write."""
+    seen = Observation()
+    return rows.observe(seen, *[c.alias(name) for name, c in metrics.items()]), seen
+
+
+def health_metrics(source: str, size: str, names: Sequence[str]) -> dict[str, Column]:
+    """Aggregates for ``measured``: rows and bytes in all, of each named source and of the rest; names are a short list, values whose
+    sum is null count as 0."""
+    sets = {"": F.lit(True)} | {f":{n}": F.coalesce(F.col(source) == n, F.lit(False)) for n in names} | {":": ~F.coalesce(F.col(source).isin(list(names)), F.lit(False))}
+    found = {f"n_rows{k}": F.count_if(c) for k, c in sets.items()}
+    return found | {f"bytes{k}": F.coalesce(F.sum(F.when(c, F.col(size))), F.lit(0)).cast("long") for k, c in sets.items()}
+
+
+def measured_health(spark: SparkSession, seen: Observation, source: str, names: Sequence[str]) -> DataFrame:
+    """What ``health_metrics`` measured, as rows like those of ``source_health``: a row for each named source that has rows, and one
+    with a null name for the rest, if there are any."""
+    got = seen.get
+    rows = [(n, got[f"n_rows:{n or ''}"], got[f"bytes:{n or ''}"]) for n in [*names, None]]
+    return spark.createDataFrame([r for r in rows if r[1]], f"{source} string, n_rows long, bytes long")
+
+
+def measured_thresholds(spark: SparkSession, seen: Observation, limits: dict[str, float]) -> DataFrame:
+    """``thresholds`` of what was measured; a metric that was null has no observation and does not exceed."""
+    got = seen.get
+    row = spark.createDataFrame([tuple(None if got[m] is None else float(got[m]) for m in limits)], ", ".join(f"`{m}` double" for m in limits))
+    return thresholds(row, limits).withColumn("exceeded", F.coalesce("exceeded", F.lit(False)))
+
+
 def source_health(rows: DataFrame, source: str, size: str) -> DataFrame:
     return rows.groupBy(source).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(size).alias("bytes"))
 

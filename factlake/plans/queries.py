@@ -365,6 +365,21 @@ def health_problems(spark, sf_dir):
     return coverage.problems({"negative value": F.col("value") < 5, "error event": F.col("event_type") == "error", "no user": F.col("user_id").isNull()}, _t(spark, sf_dir, "events"))
 
 
+@query("""SELECT 'source' AS what, source AS name, count(*)::DOUBLE AS observed, sum(n_chars)::DOUBLE AS size, false AS exceeded FROM documents WHERE source IN ('src0', 'src1', 'src2') GROUP BY source
+UNION ALL SELECT 'source', NULL, count(*), sum(n_chars), false FROM documents WHERE source IS NULL OR source NOT IN ('src0', 'src1', 'src2') HAVING count(*) > 0
+UNION ALL SELECT 'threshold', 'n_rows', count(*), NULL, count(*) > 5000 FROM documents
+UNION ALL SELECT 'threshold', 'bytes', coalesce(sum(n_chars), 0), NULL, coalesce(sum(n_chars), 0) > 1000000 FROM documents""")
+def measured_write(spark, sf_dir):
+    """Documents written; health of three sources and of the rest, and thresholds, from metrics taken in that one pass."""
+    names = ["src0", "src1", "src2"]
+    rows, seen = coverage.measured(_t(spark, sf_dir, "documents"), coverage.health_metrics("source", "n_chars", names))
+    rows.write.parquet(streams.folder(spark, "measured"))
+    health = coverage.measured_health(spark, seen, "source", names)
+    out = health.select(F.lit("source").alias("what"), F.col("source").alias("name"), F.col("n_rows").cast("double").alias("observed"), F.col("bytes").cast("double").alias("size"), F.lit(False).alias("exceeded"))
+    limits = coverage.measured_thresholds(spark, seen, {"n_rows": 5000, "bytes": 1000000})
+    return out.union(limits.select(F.lit("threshold"), "metric", "observed", F.lit(None).cast("double"), "exceeded"))
+
+
 @query("""WITH m AS (SELECT sum(n_chars)::DOUBLE AS total_chars, count(*)::DOUBLE AS n_docs, max(n_chars)::DOUBLE AS longest FROM documents)
 SELECT metric, observed, threshold, observed > threshold AS exceeded FROM (SELECT 'total_chars' AS metric, total_chars AS observed, 1000000.0::DOUBLE AS threshold FROM m UNION ALL SELECT 'n_docs', n_docs, 5000.0 FROM m UNION ALL SELECT 'longest', longest, 100000.0 FROM m)""")
 def threshold_observations(spark, sf_dir):

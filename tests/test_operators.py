@@ -315,3 +315,26 @@ def test_public_urls_and_truncation(spark):
     got = {r.u: r.ok for r in spark.createDataFrame([(u,) for u in cases], "u string").select("u", public_url(F.col("u")).alias("ok")).collect()}
     assert got == cases
     assert spark.createDataFrame([("éabc",), (None,)], "t string").select(truncated(F.col("t"), 2)).collect() == [("éa",), (None,)]
+
+
+def test_metrics_are_taken_while_rows_are_written(spark):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from factlake.operators import coverage
+
+    root, names = tempfile.mkdtemp(prefix="spark-", dir="/tmp"), ["a", "b", "none"]
+    table = spark.createDataFrame([("a", 3), ("a", 4), ("b", None), ("c", 5), (None, 1)], "source string, size long")
+    rows, seen = coverage.measured(table, coverage.health_metrics("source", "size", names))
+    rows.write.parquet(f"{root}/t")
+    assert spark.read.parquet(f"{root}/t").count() == 5
+    got = sorted(map(tuple, coverage.measured_health(spark, seen, "source", names).collect()), key=str)
+    assert got == sorted([("a", 2, 7), ("b", 1, 0), (None, 2, 6)], key=str)
+    assert {r.metric: (r.observed, r.exceeded) for r in coverage.measured_thresholds(spark, seen, {"n_rows": 4, "bytes": 100}).collect()} == {"n_rows": (5.0, True), "bytes": (13.0, False)}
+    assert "Aggregate" not in rows._jdf.queryExecution().executedPlan().toString()  # one scan, no shuffle
+    empty, seen = coverage.measured(table.limit(0), {"longest": F.max("size")} | coverage.health_metrics("source", "size", names))
+    empty.write.parquet(f"{root}/e")
+    assert coverage.measured_health(spark, seen, "source", names).count() == 0
+    (row,) = coverage.measured_thresholds(spark, seen, {"longest": 1}).collect()
+    assert row.observed is None and row.exceeded is False
