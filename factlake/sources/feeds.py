@@ -21,6 +21,9 @@ CVE_VERSIONS = ["5.0", "5.1", "5.1.1", "5.2"]
 CVE_STATES = ["PUBLISHED", "REJECTED"]
 # Fixed values of the formats.
 ASSERTION_FIELDS = ["metrics", "problemTypes", "descriptions", "configurations", "rejectedReasons", "replacedBy", "datePublic", "title"]
+ASSESSMENT = "named_struct('relevance', 'unknown', 'confidence', 'unknown', 'product_class', cast(null as string), 'entry_protocol', cast(null as string), 'authentication', cast(null as string), 'configuration', cast(null as string), 'reasons', cast(array() as array<string>), 'classifier_version', '1.0')"
+PRODUCT_FIELDS = ["vendor", "product", "cpe"]
+MOST_TEMPLATE_BYTES = 2 << 20
 PROTOCOLS = ["http", "requests", "tcp", "network", "headless", "code", "file", "dns", "ssl", "javascript"]
 REQUEST_PROTOCOLS = ["http", "requests", "tcp", "network"]
 
@@ -83,6 +86,7 @@ def record(source: str, native: Column, kind: str, *, title: Column, aliases: Co
         (none if affected is None else affected).alias("affected"),
         (none if references is None else references).alias("references"),
         F.concat(F.array(own), none if provenance is None else provenance).alias("provenance"),
+        F.expr(ASSESSMENT).alias("assessment"),
         (F.lit("{}") if body is None else body).alias("body"),
     ]
 
@@ -334,7 +338,7 @@ def _parse_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             "urls": [type(x) is str for x in links],
             "protocols": [p for p in PROTOCOLS if p in found],
             "payloads": sorted(payloads),
-            "products": {k: json.dumps(v) for k, v in meta.items() if k in ("vendor", "product", "cpe")},
+            "products": {k: json.dumps(v) for k, v in meta.items() if k in PRODUCT_FIELDS},
             "minimum_version": str(meta.get("min-version") or found.get("minimum-version") or "") or None,
         }
 
@@ -351,27 +355,33 @@ def _parse_templates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def template_records(files: DataFrame, revision: str, repository: str) -> tuple[DataFrame, DataFrame]:
-    """(records, rejected) of template files (path, content)."""
-    parsed = files.select("path", "content").mapInPandas(_parse_templates, _TEMPLATE)
-    whole = parsed.join(files.select("path", F.sha2("content", 256).alias("sha256"), H.git_blob_sha1(F.col("content")).alias("blob_sha"), F.octet_length("content").alias("bytes"), F.expr("contains(content, cast('{{interactsh-url}}' as binary))").alias("oob")), "path")
+    """(records, rejected) of template files (path, content). Files over the size are rejected unparsed. References that are no public
+    URL stay as text, with a warning that names their place."""
+    parsed = files.filter(F.octet_length("content") <= MOST_TEMPLATE_BYTES).select("path", "content").mapInPandas(_parse_templates, _TEMPLATE)
+    whole = files.select("path", F.sha2("content", 256).alias("sha256"), H.git_blob_sha1(F.col("content")).alias("blob_sha"), F.octet_length("content").alias("bytes"), F.expr("contains(content, cast('{{interactsh-url}}' as binary))").alias("oob")).join(parsed, "path", "left")
     unsafe = F.exists("payloads", lambda p: ~P.safe_path(p))
-    whole = whole.withColumn("error", F.coalesce("error", F.when(unsafe, "a payload path that leaves its folder"), F.when(F.size("payloads") > 32, "over 32 dependencies"), F.when(F.col("mapping").isNotNull(), "auxiliary mapping")))
+    whole = whole.withColumn("error", F.coalesce(F.when(F.col("bytes") > MOST_TEMPLATE_BYTES, "over the size"), F.when(~P.safe_path(F.col("path")), "a path that leaves its folder"), "error", F.when(unsafe, "a payload path that leaves its folder"), F.when(F.size("payloads") > 32, "over 32 dependencies"), F.when(F.col("mapping").isNotNull(), "auxiliary mapping")))
     upper = F.transform(F.concat("identifiers", "tags"), lambda x: F.upper(x))
     advisories = F.flatten(F.transform("refs", lambda r: F.regexp_extract_all(r, F.lit(f"(?i)({H.GHSA})"), F.lit(1))))
     aliases = F.array_sort(F.array_distinct(F.concat(F.filter(upper, lambda x: x.rlike(f"^{H.CVE}$")), advisories)))
     good = whole.filter("error is null").withColumn("found", aliases)
-    linked = lambda r, i: F.get("urls", i) & P.public_url(r)
+    linked = lambda r, i: F.coalesce(F.get("urls", i) & P.public_url(r), F.lit(False))
+    message = "Upstream reference retained as inert text; not a download URL."
+    warned = F.transform("refs", lambda r, i: F.when(~linked(r, i), F.struct(F.lit("non_url_reference").alias("code"), F.lit(message).alias("message"), i.alias("reference_index"))))
+    warnings = F.array_compact(warned)
     references = F.transform("refs", lambda r, i: F.when(linked(r, i), canonical(object_of(url=quoted(r)))).otherwise(canonical(object_of(text=quoted(r), relationship=F.lit('"upstream-reference"'), retrievable=F.lit("false")))))
     url = F.concat(F.lit(f"https://github.com/{repository}/blob/{revision}/"), F.col("path"))
     flag = lambda c: F.when(c, "true").otherwise("false")
     has = lambda p: F.array_contains("protocols", p)
-    requirements = object_of(authentication=F.when(F.arrays_overlap("tags", F.array(F.lit("auth"), F.lit("authenticated"))), '"required"'), browser=flag(has("headless")), out_of_band=flag(F.col("oob")), code=flag(has("code") | has("javascript")))
+    requirements = object_of(authentication=F.when(F.arrays_overlap("tags", F.array(F.lit("auth"), F.lit("authenticated"))), '"required"'), browser=flag(has("headless")), out_of_band=flag(F.col("oob")), code=flag(has("code") | has("javascript")), configuration=F.lit(None).cast("string"))
     dependencies = F.to_json(F.transform("payloads", lambda p: F.struct(p.alias("path"), F.lit(revision).alias("revision"), F.lit("unresolved").alias("status"))))
+    products = canonical(F.transform_values("products", lambda _, v: F.parse_json(v)))
     body = object_of(
-        template_id=quoted(F.col("id")), path=quoted(F.col("path")), source_commit=F.lit(f'"{revision}"'), blob_sha=quoted(F.col("blob_sha")), sha256=quoted(F.col("sha256")), bytes=F.col("bytes").cast("string"), protocols=F.to_json("protocols"),
+        template_id=quoted(F.col("id")), resource_id=quoted(F.concat(F.lit("nuclei/"), F.col("path"))), products=products, path=quoted(F.col("path")), source_commit=F.lit(f'"{revision}"'), blob_sha=quoted(F.col("blob_sha")), sha256=quoted(F.col("sha256")), bytes=F.col("bytes").cast("string"), protocols=F.to_json("protocols"),
         tags=F.to_json(F.array_sort(F.array_distinct("tags"))), advisory_ids=F.to_json("found"), mapping_confidence=F.when(F.size("found") > 0, '"explicit-metadata"').otherwise('"unknown"'), dependencies=dependencies, requirements=canonical(requirements),
         engine=canonical(object_of(name=F.lit('"nuclei"'), minimum_version=quoted(F.col("minimum_version")))), verification=F.lit('{"executed":false,"status":"metadata-only"}'),
     )
+    body = merged(body, F.when(F.size(warnings) > 0, object_of(warnings=F.to_json(warnings))).otherwise(fields(F.lit("{}"))))
     records = good.select(*record("nuclei", F.col("path"), "resource", title=F.col("name"), aliases=F.col("found"), published=F.lit(None).cast("string"), modified=F.lit(None).cast("string"), revision=F.lit(revision), url=url, references=references, body=canonical(body)))
     return records, whole.filter("error is not null").select("path", "error", "mapping")
 

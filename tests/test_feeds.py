@@ -134,9 +134,19 @@ def test_templates(spark):
     (row,) = records.collect()
     body = json.loads(row.body)
     assert row.aliases == ["CVE-2026-1001", "GHSA-2222-3333-4444"] and body["tags"] == ["auth", "cve2026", "x"] and body["protocols"] == ["http"]
-    assert body["requirements"] == {"authentication": "required", "browser": False, "out_of_band": True, "code": False} and body["dependencies"][0]["path"] == "helpers/users.txt"
+    assert body["requirements"] == {"authentication": "required", "browser": False, "out_of_band": True, "code": False, "configuration": None} and body["dependencies"][0]["path"] == "helpers/users.txt"
     assert [json.loads(x) for x in row.references] == [{"url": "https://a.example/"}, {"text": "see GHSA-2222-3333-4444", "relationship": "upstream-reference", "retrievable": False}]
     assert {r.path: r.error for r in rejected.collect()} == {"b.yaml": "auxiliary mapping", "c.yaml": "no id or info"}
+    assert body["resource_id"] == "nuclei/http/a.yaml" and body["products"] == {"vendor": "v"}
+    assert [(w["code"], w["reference_index"]) for w in body["warnings"]] == [("non_url_reference", 1)]
+    assert row.assessment.relevance == "unknown" and row.assessment.reasons == [] and row.assessment.product_class is None
+    plain = good.replace(b"    - see GHSA-2222-3333-4444\n", b"").replace(b"  metadata: {vendor: v, other: 1}\n", b"  metadata: {cpe: ['c', {a: 1}]}\n")
+    big = good + b"#" * feeds.MOST_TEMPLATE_BYTES
+    more = spark.createDataFrame([("p.yaml", bytearray(plain)), ("big.yaml", bytearray(big)), ("../x.yaml", bytearray(plain))], "path string, content binary")
+    records, rejected = feeds.template_records(more, "rev", "o/r")
+    body = json.loads(records.first().body)
+    assert body["products"] == {"cpe": ["c", {"a": 1}]} and "warnings" not in body
+    assert {r.path: r.error for r in rejected.collect()} == {"big.yaml": "over the size", "../x.yaml": "a path that leaves its folder"}
 
 
 def test_signature_blocks(spark):
