@@ -19,22 +19,25 @@ def _text(value: object) -> str:
     return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
 
 
-def _type(v: Column) -> Column:
-    return F.schema_of_variant(v)
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once for each row however often the body names it. What stands under a condition is
+    otherwise computed again wherever it is named, and makes code too long to be compiled."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _number(v: Column) -> Column:
     return F.try_variant_get(v, "$", "double")
 
 
-_TYPES: dict[str, Callable[[Column], Column]] = {
-    "string": lambda v: _type(v) == "STRING",
-    "null": lambda v: _type(v) == "VOID",
-    "boolean": lambda v: _type(v) == "BOOLEAN",
-    "object": lambda v: _type(v).startswith("OBJECT"),
-    "array": lambda v: _type(v).startswith("ARRAY"),
-    "number": lambda v: _type(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"),
-    "integer": lambda v: (_type(v) == "BIGINT") | (_type(v).rlike("^(DECIMAL|DOUBLE|FLOAT)") & (_number(v) == F.floor(_number(v)))),
+#: Whether a variant, given with the name of its type, is of a kind.
+_TYPES: dict[str, Callable[[Column, Column], Column]] = {
+    "string": lambda v, t: t == "STRING",
+    "null": lambda v, t: t == "VOID",
+    "boolean": lambda v, t: t == "BOOLEAN",
+    "object": lambda v, t: t.startswith("OBJECT"),
+    "array": lambda v, t: t.startswith("ARRAY"),
+    "number": lambda v, t: t.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"),
+    "integer": lambda v, t: (t == "BIGINT") | (t.rlike("^(DECIMAL|DOUBLE|FLOAT)") & (_number(v) == F.floor(_number(v)))),
 }
 _string = lambda v: F.try_variant_get(v, "$", "string")
 _items = lambda v: F.try_variant_get(v, "$", "array<variant>")
@@ -46,9 +49,9 @@ def _field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f"$['{escaped}']", "variant")
 
 
-def _only(kind: str, v: Column, bad: Column) -> Column:
+def _only(kind: str, v: Column, t: Column, bad: Column) -> Column:
     """A rule that holds for values of one type alone."""
-    return _TYPES[kind](v) & F.coalesce(bad, F.lit(False))
+    return _TYPES[kind](v, t) & F.coalesce(bad, F.lit(False))
 
 
 def _none() -> Column:
@@ -63,6 +66,11 @@ def _compiled(schema: Mapping | bool, v: Column, path: Column) -> Column:
     """Reasons against ``v``, a variant that isn't SQL null."""
     if isinstance(schema, bool):
         return _none() if schema else F.array(F.concat(path, F.lit(": not allowed")))
+    return once(F.schema_of_variant(v), lambda t: _typed(schema, v, t, path))
+
+
+def _typed(schema: Mapping, v: Column, t: Column, path: Column) -> Column:
+    """Reasons against ``v``, a variant of the type ``t``."""
     simple: list[tuple[Column, str]] = []
     nested: list[Column] = []
     for key, want in schema.items():
@@ -70,45 +78,45 @@ def _compiled(schema: Mapping | bool, v: Column, path: Column) -> Column:
             kinds = [want] if isinstance(want, str) else want
             fits = F.lit(False)
             for k in kinds:
-                fits = fits | _TYPES[k](v)
+                fits = fits | _TYPES[k](v, t)
             simple.append((~fits, f"not of type {' or '.join(kinds)}"))
         elif key == "const":
             simple.append((F.to_json(v) != _text(want), f"not {_text(want)}"))
         elif key == "enum":
             simple.append((~F.to_json(v).isin([_text(x) for x in want]), "not one of the values"))
         elif key == "pattern":
-            simple.append((_only("string", v, ~_string(v).rlike(want)), "does not match the pattern"))
+            simple.append((_only("string", v, t, ~_string(v).rlike(want)), "does not match the pattern"))
         elif key in ("minLength", "maxLength"):
             n = F.char_length(_string(v))
-            simple.append((_only("string", v, n < want if key == "minLength" else n > want), f"too {'short' if key == 'minLength' else 'long'}"))
+            simple.append((_only("string", v, t, n < want if key == "minLength" else n > want), f"too {'short' if key == 'minLength' else 'long'}"))
         elif key in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum"):
             x = _number(v)
             bad = {"minimum": x < want, "maximum": x > want, "exclusiveMinimum": x <= want, "exclusiveMaximum": x >= want}[key]
-            simple.append((_only("number", v, bad), f"breaks {key} {want}"))
+            simple.append((_only("number", v, t, bad), f"breaks {key} {want}"))
         elif key in ("minItems", "maxItems"):
             n = F.size(_items(v))
-            simple.append((_only("array", v, n < want if key == "minItems" else n > want), f"too {'few' if key == 'minItems' else 'many'} items"))
+            simple.append((_only("array", v, t, n < want if key == "minItems" else n > want), f"too {'few' if key == 'minItems' else 'many'} items"))
         elif key == "uniqueItems":
-            each = F.transform(_items(v), lambda x: F.to_json(x))
-            simple.append((_only("array", v, (F.size(F.array_distinct(each)) < F.size(each)) & F.lit(bool(want))), "items repeat"))
+            repeat = once(F.transform(_items(v), lambda x: F.to_json(x)), lambda each: F.size(F.array_distinct(each)) < F.size(each))
+            simple.append((_only("array", v, t, repeat & F.lit(bool(want))), "items repeat"))
         elif key in ("minProperties", "maxProperties"):
             n = F.size(_fields(v))
-            simple.append((_only("object", v, n < want if key == "minProperties" else n > want), f"too {'few' if key == 'minProperties' else 'many'} fields"))
+            simple.append((_only("object", v, t, n < want if key == "minProperties" else n > want), f"too {'few' if key == 'minProperties' else 'many'} fields"))
         elif key == "required":
             for name in want:
-                simple.append((_only("object", v, _field(v, name).isNull()), f"lacks {name}"))
+                simple.append((_only("object", v, t, _field(v, name).isNull()), f"lacks {name}"))
         elif key == "properties":
             for name, inner in want.items():
                 nested.append(_present(_field(v, name), inner, F.concat(path, F.lit(f".{name}"))))
         elif key == "items":
             each = F.transform(_items(v), lambda x, i: _compiled(want, x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
-            nested.append(F.when(_TYPES["array"](v), F.flatten(each)).otherwise(_none()))
+            nested.append(F.when(_TYPES["array"](v, t), F.flatten(each)).otherwise(_none()))
         elif key in ("additionalProperties", "propertyNames"):
             known = list(schema.get("properties", {})) if key == "additionalProperties" else []
             some = F.filter(F.map_entries(_fields(v)), lambda e: ~e["key"].isin(known) if known else F.lit(True))
             what = (lambda e: e["value"]) if key == "additionalProperties" else (lambda e: F.parse_json(F.regexp_extract(F.to_json(F.struct(e["key"].alias("k"))), r'^\{"k":(.*)\}$', 1)))
             each = F.transform(some, lambda e: _compiled(want, what(e), F.concat(path, F.lit("."), e["key"])))
-            nested.append(F.when(_TYPES["object"](v), F.flatten(each)).otherwise(_none()))
+            nested.append(F.when(_TYPES["object"](v, t), F.flatten(each)).otherwise(_none()))
         elif key in ("anyOf", "oneOf", "allOf"):
             holds = [F.when(F.size(_compiled(s, v, path)) == 0, 1).otherwise(0) for s in want]
             n = holds[0]
@@ -127,14 +135,14 @@ def _compiled(schema: Mapping | bool, v: Column, path: Column) -> Column:
 
 
 def _present(v: Column, schema: Mapping | bool, path: Column) -> Column:
-    return F.when(v.isNull(), _none()).otherwise(_compiled(schema, v, path))
+    return once(v, lambda x: F.when(x.isNull(), _none()).otherwise(_compiled(schema, x, path)))
 
 
 def violations(document: Column, schema: Mapping) -> Column:
     """Sorted reasons, each with its path, why a JSON text does not fit ``schema``; an empty array if it does. Text that is null or no
     JSON has the one reason ``$: not JSON``."""
-    v = F.try_parse_json(document)
-    return F.when(v.isNull(), F.array(F.lit("$: not JSON"))).otherwise(F.array_sort(_compiled(schema, v, F.lit("$"))))
+    found = lambda v: F.when(v.isNull(), F.array(F.lit("$: not JSON"))).otherwise(F.array_sort(_compiled(schema, v, F.lit("$"))))
+    return once(F.try_parse_json(document), found)
 
 
 def with_fields(document: Column, fields: Mapping[str, Column]) -> Column:

@@ -85,11 +85,12 @@ def _by_kind(kind: Column, names: dict[str, str]) -> Column:
     return out
 
 
-def event_types(old: str = "old", new: str = "new") -> Column:
+def event_types(old: str | Column = "old", new: str | Column = "new") -> Column:
     """Sorted event types of a change between two structs (old null: first sight) with the fields kind, source_id, status,
     kev, affected, scores, severity, metrics, assertion_metrics, semantic, requirements, dependencies, sha256 and, of the new
     one, proof (array of changed fields that a bootstrap has proven). Text fields are canonical JSON."""
-    o, n = (lambda c: F.col(f"{old}.{c}")), (lambda c: F.col(f"{new}.{c}"))
+    old, new = (F.col(x) if isinstance(x, str) else x for x in (old, new))
+    o, n = (lambda c: old[c]), (lambda c: new[c])
     differs = lambda *cs: F.lit(False) if not cs else ~_all([o(c).eqNullSafe(n(c)) for c in cs])
     kev = lambda side: F.coalesce(side("kev"), F.lit(False))
     proven = F.transform(n("proof"), lambda f: F.when(f == "status", F.when(n("status") == "rejected", "rejected").when(n("status") == "active", "disclosure").otherwise("withdrawn")).otherwise(_by_kind(f, PROVEN)))
@@ -104,7 +105,7 @@ def event_types(old: str = "old", new: str = "new") -> Column:
         F.when((n("kind") == "resource") & differs("requirements", "dependencies"), "template_requirements_changed"),
         F.when((n("kind") == "resource") & differs("sha256"), "template_logic_changed"),
     )
-    types = F.when(F.col(old).isNull(), first).otherwise(update)
+    types = F.when(old.isNull(), first).otherwise(update)
     return F.array_sort(F.array_distinct(F.filter(types, lambda x: x.isNotNull())))
 
 
@@ -115,10 +116,11 @@ def _all(conditions: Sequence[Column]) -> Column:
     return out
 
 
-def events_of(changes: DataFrame, observed_at: Column, revision: Column, policy_version: Column, window: Column | None = None) -> DataFrame:
+def events_of(changes: DataFrame, observed_at: Column, revision: Column, policy_version: Column, window: Column | None = None, types: Column | None = None) -> DataFrame:
     """One row for each typed event of ``changes`` (record_id, old, new; structs that also have content_hash, published_at
-    and source_modified_at). ``window`` is when a change that a bootstrap has proven may have occurred."""
-    each = changes.select("*", F.explode(event_types()).alias("event_type"))
+    and source_modified_at). ``window`` is when a change that a bootstrap has proven may have occurred;
+    ``types`` are its event types, if they are known already."""
+    each = changes.select("*", F.explode(event_types() if types is None else types).alias("event_type"))
     occurred = F.when(F.size("new.proof") > 0, None).when(F.col("event_type") == "disclosure", F.col("new.published_at")).otherwise(F.col("new.source_modified_at"))
     old_hash, new_hash = F.col("old.content_hash"), F.col("new.content_hash")
     return each.select(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, event_id, json_string, semantic_json
-from ..functions.schemas import RECORD, violations, with_fields
+from ..functions.schemas import RECORD, once, violations, with_fields
 from .changes import append_events, event_types, events_of
 
 #: A record's canonical line, with its line feed, may have so many bytes.
@@ -39,7 +39,7 @@ class Ingested:
         self.table.unpersist()
 
 
-def _field(line: str, name: str) -> Column:
+def _field(line: str | Column, name: str) -> Column:
     return F.get_json_object(line, f"$.{name}")
 
 
@@ -47,7 +47,7 @@ def _hash(facts: Column) -> Column:
     return digest(F.concat(facts, F.lit("\n")))
 
 
-def compared(line: str, facts: Column) -> Column:
+def compared(line: str | Column, facts: Column) -> Column:
     """The struct that ``event_types`` and ``events_of`` compare, of a record's canonical line."""
     text = ["kind", "source_id", "status", "affected", "scores", "severity", "metrics", "requirements", "dependencies", "sha256", "content_hash", "published_at", "source_modified_at"]
     metrics = F.from_json(_field(line, "assertions"), "array<struct<metrics: string>>")
@@ -62,6 +62,36 @@ def compared(line: str, facts: Column) -> Column:
     )
 
 
+def _judged(schema: dict, most_bytes: int, now: str) -> Column:
+    """A struct of what becomes of a row (given, old_line, set_line, facts, old_facts): its new line, bytes, reasons against it, whether
+    it is taken, old and new as they are compared, event types and the line after. Each is computed once a row."""
+    old_line, facts, no_reasons = F.col("old_line"), F.col("facts"), F.array().cast("array<string>")
+
+    def of_hash(h: Column) -> Column:
+        same = F.coalesce(_field(old_line, "content_hash") == h, F.lit(False))
+        return once(F.when(F.col("given").isNotNull() & ~same, with_fields(F.col("set_line"), {"content_hash": json_string(h)})), of_line)
+
+    def of_line(line: Column) -> Column:
+        too_large = F.when(F.octet_length(line) + 1 > most_bytes, F.array(F.lit("$: too large"))).otherwise(no_reasons)
+        unread = F.col("given").isNotNull() & F.col("set_line").isNull()
+        reasons = F.when(line.isNotNull(), F.concat(violations(line, schema), too_large)).when(unread, F.array(F.lit("$: not JSON"))).otherwise(no_reasons)
+        return once(reasons, lambda r: of_reasons(line, r))
+
+    def of_reasons(line: Column, reasons: Column) -> Column:
+        taken = line.isNotNull() & (F.size(reasons) == 0)
+        old = F.when(taken & old_line.isNotNull(), compared(old_line, F.col("old_facts")))
+        sides = F.struct(taken.alias("taken"), old.alias("old"), F.when(taken, compared(line, facts)).alias("new"))
+        return once(sides, lambda s: once(F.when(s["taken"], event_types(s["old"], s["new"])), lambda types: whole(line, reasons, s, types)))
+
+    def whole(line: Column, reasons: Column, s: Column, types: Column) -> Column:
+        material = F.when(F.size(types) > 0, json_string(F.lit(now))).otherwise(once(_field(old_line, "last_material_event_at"), json_string))
+        after = F.when(s["taken"], with_fields(line, {"last_material_event_at": material})).otherwise(old_line)
+        fields = {"after": after, "taken": s["taken"], "types": types, "old": s["old"], "new": s["new"], "reasons": reasons, "bytes": F.octet_length(line) + 1, "new_line": line}
+        return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+    return once(_hash(facts), of_hash)
+
+
 def ingest(
     current: DataFrame,
     batch: DataFrame,
@@ -85,25 +115,14 @@ def ingest(
     that the source has, if the batch is an authoritative whole."""
     incoming = batch.groupBy("record_id").agg(F.max_by("line", "seq").alias("given"))
     both = current.select("record_id", "source_id", F.col("line").alias("old_line")).join(incoming, "record_id", "full_outer")
-    first_seen = json_string(F.coalesce(_field("old_line", "first_seen_at"), F.lit(now)))
+    first_seen = once(F.coalesce(_field("old_line", "first_seen_at"), F.lit(now)), json_string)
     both = both.withColumn("set_line", with_fields(F.col("given"), {"schema_version": F.lit('"1.0"'), "first_seen_at": first_seen}))
-    both = both.withColumn("facts", semantic_json("set_line")).withColumn("hash", _hash(F.col("facts")))
-    same = F.coalesce(_field("old_line", "content_hash") == F.col("hash"), F.lit(False))
-    both = both.withColumn("new_line", F.when(F.col("given").isNotNull() & ~same, with_fields(F.col("set_line"), {"content_hash": json_string(F.col("hash"))})))
-    size = F.octet_length("new_line") + 1
-    too_large = F.when(size > most_bytes, F.array(F.lit("$: too large"))).otherwise(F.array().cast("array<string>"))
-    unread = F.col("given").isNotNull() & F.col("set_line").isNull()
-    reasons = F.when(F.col("new_line").isNotNull(), F.concat(violations(F.col("new_line"), schema), too_large)).when(unread, F.array(F.lit("$: not JSON"))).otherwise(F.array().cast("array<string>"))
-    both = both.withColumn("reasons", reasons).withColumn("taken", F.col("new_line").isNotNull() & (F.size("reasons") == 0))
-    old_facts = semantic_json(F.when(F.col("taken") & (_field("new_line", "kind") == "poc"), F.col("old_line")))
-    both = both.withColumn("old_facts", old_facts)
-    both = both.withColumn("old", F.when(F.col("old_line").isNotNull(), compared("old_line", F.col("old_facts")))).withColumn("new", F.when(F.col("taken"), compared("new_line", F.col("facts"))))
-    both = both.withColumn("types", F.when(F.col("taken"), event_types()))
-    material = F.when(F.size("types") > 0, json_string(F.lit(now))).otherwise(json_string(_field("old_line", "last_material_event_at")))
-    both = both.withColumn("after", F.when(F.col("taken"), with_fields(F.col("new_line"), {"last_material_event_at": material})).otherwise(F.col("old_line")))
+    old_poc = F.when(_field("set_line", "kind") == "poc", F.col("old_line"))
+    both = both.withColumns({"facts": semantic_json("set_line"), "old_facts": semantic_json(old_poc)})
+    both = both.withColumn("judged", _judged(schema, most_bytes, now)).select("record_id", "source_id", "given", "old_line", "judged.*")
     listed = inventory.select("record_id").distinct().withColumn("listed", F.lit(True)) if inventory is not None else None
     both = both.join(listed, "record_id", "left") if listed is not None else both.withColumn("listed", F.lit(None).cast("boolean"))
-    table = both.select("record_id", "source_id", "given", "old_line", "after", "taken", "types", "old", "new", "reasons", size.alias("bytes"), "new_line", "listed").persist()
+    table = both.persist()
 
     invalid = table.agg(F.count_if(F.size("reasons") > 0)).first()[0]
     whole = inventory is not None and status == "ok" and not invalid
@@ -119,7 +138,7 @@ def ingest(
     shared = (F.lit(now), F.lit(revision), F.lit(policy_version))
     changed = table.filter(F.size("types") > 0)
     window = F.when(F.size("new.proof") > 0, F.col("new.window"))
-    typed = events_of(changed, *shared, window)
+    typed = events_of(changed, *shared, window, F.col("types"))
     kind = F.lit("kev_removed" if source_id == "kev" else "source_deleted")
     lost = deleted.select(
         F.lit("1.0").alias("schema_version"),

@@ -156,3 +156,11 @@ def test_with_fields(spark):
     df = spark.createDataFrame([('{"b":[1,{"x":null}],"a":1,"q":"é\\""}',), (None,)], "t string")
     got = [r[0] for r in df.select(with_fields(F.col("t"), {"a": F.lit('"new"'), "z": F.lit("null")})).collect()]
     assert got == ['{"a":"new","b":[1,{"x":null}],"q":"é\\"","z":null}', None]
+
+
+def test_each_step_is_computed_once(spark):
+    """What an expression names several times is parsed, hashed and checked once a row, nested values too."""
+    checks = str(violations(F.col("line"), RECORD))
+    assert checks.count("try_parse_json(") == 1
+    judged = str(I._judged(RECORD, I.MOST_BYTES, NOW))
+    assert judged.count("try_parse_json(") == 1 and judged.count("sha2(") == 1
