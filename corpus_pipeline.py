@@ -31,7 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the runs of two lines or more that an earlier place has too."""
+    """All documents, without the runs of two lines or more that an earlier place has too: repeated content-defined chunks, extended
+    line by line, then what the chunks' cuts leave of such runs."""
     return _with_text(repeats_removed(docs), docs)
 
 

@@ -13,7 +13,7 @@ place, as far as the chunks that end and begin there reach.
    alone, and are extended by lines whose 128 bits agree.
 3. Texts lose the union of what is found. Texts are dealt out once, for both steps.
 
-Runs of repeated lines that hold no whole chunk are not found; ``repeats_removed`` finds them all.
+Runs of repeated lines that hold no whole chunk are not found; ``repeats_removed`` then finds them too, exactly.
 
 Defined results: null texts stay null and have no lines; an empty text is one line; rows with null doc_id are not compared and
 stay as they are. A document is a doc_id with a text: rows that repeat both get the same result, rows that repeat a doc_id with
@@ -94,6 +94,13 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """One row for each row of ``df`` (doc_id, text): doc_id, n_lines, removed (array of (start, n) lines, in order), kept_text
     and rest (a struct of the other columns)."""
     docs, by = documents(df), ["doc_id", "t"]
+    out = docs.join(_found(docs, divisor), by, "left").select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), _union("s").alias("removed"))
+    return _without_removed(out)
+
+
+def _found(docs: DataFrame, divisor: int) -> DataFrame:
+    """doc_id, t, s: sorted array of (start, end) of the lines of each chunk that is found before, with what is extended around it."""
+    by = ["doc_id", "t"]
     chunks = docs.filter("doc_id is not null and text is not null").select(*by, F.inline(_chunks(F.col("text"), divisor)))
     often = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
     often = written(often, "repeated-chunks")  # a table of its own, so that Spark can split a frequent chunk's rows in the join
@@ -120,9 +127,7 @@ def line_dedup(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     again = bytes_of.drop("chunk").join(firsts, "sha").filter(F.struct("doc_id", "t", "start") != F.struct("first.doc_id", "first.t", "first.start"))
     joint = lambda side: F.floor(_joint(F.col(side), F.col(f"first.{side}")) / 2).cast("int")
     more = again.select(*by, "start", "n", joint("before").alias("up"), joint("after").alias("down"))
-    spans = more.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct((F.col("start") - F.col("up")).alias("start"), (F.col("start") + F.col("n") + F.col("down")).alias("end")))).alias("s"))
-    out = docs.join(spans, by, "left").select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), _union("s").alias("removed"))
-    return _without_removed(out)
+    return more.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct((F.col("start") - F.col("up")).alias("start"), (F.col("start") + F.col("n") + F.col("down")).alias("end")))).alias("s"))
 
 
 def _union(spans: str) -> Column:
@@ -138,31 +143,44 @@ def _union(spans: str) -> Column:
     return F.transform(merged, lambda s: F.struct(s["start"].alias("start"), (s["end"] - s["start"]).alias("n")))
 
 
+def _starts(lines: Column) -> Column:
+    """Where two consecutive lines begin of which one has a word."""
+    worded = F.transform(lines, lambda x: x.rlike(WORD))
+    return let(worded, lambda w: F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i + 1 < F.size(w)) & (F.get(w, i) | F.coalesce(F.get(w, i + 1), F.lit(False)))))
+
+
+def _inside(start: Column) -> Column:
+    """Whether two lines lie within one of the spans ``s``."""
+    return F.coalesce(F.exists("s", lambda x: (x["start"] <= start) & (start + 2 <= x["end"])), F.lit(False))
+
+
 def _pairs(text: Column) -> Column:
-    """Array of (start, h) of each two consecutive lines of a text of which one has a word."""
+    """Array of (start, h) of each two consecutive lines of a text of which one has a word, without those inside ``s``."""
 
     def of(lines: Column) -> Column:
-        worded = F.transform(lines, lambda x: x.rlike(WORD))
-        starts = let(worded, lambda w: F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i + 1 < F.size(w)) & (F.get(w, i) | F.coalesce(F.get(w, i + 1), F.lit(False)))))
+        starts = F.filter(_starts(lines), lambda i: ~_inside(i))
         return F.transform(starts, lambda i: F.struct(i.alias("start"), F.unhex(F.md5(F.array_join(F.slice(lines, i + 1, 2), "\n").cast("binary"))).alias("h")))
 
     return let(F.split(text, "\n"), of)
 
 
-def repeats_removed(df: DataFrame) -> DataFrame:
-    """Like ``line_dedup``, but without cuts: every two consecutive lines that are found before go, so any run of two lines or more
-    that an earlier place has too goes whole, wherever it begins. Places are judged on the input; pairs are compared by 128 bits."""
-    docs = documents(df)
-    pairs = docs.filter("doc_id is not null and text is not null").select("doc_id", "t", F.inline(_pairs(F.col("text"))))
+def repeats_removed(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """Like ``line_dedup``, and also what its cuts leave: any run of two lines or more that an earlier place has too goes whole,
+    wherever it begins. Chunks are searched first. What lies within one that was found has the same lines at an earlier place, so it
+    is no first place of anything; the exact search then takes the other pairs of consecutive lines alone. Places are judged on the
+    input; pairs are compared by 128 bits."""
+    docs, by = documents(df), ["doc_id", "t"]
+    found = written(_found(docs, divisor), "chunk-spans")
+    pairs = docs.filter("doc_id is not null and text is not null").join(found, by, "left").select(*by, F.inline(_pairs(F.col("text"))))
     place = F.struct("doc_id", "t", "start")
     often = written(pairs.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "first"), "repeated-pairs")
-    again = pairs.join(often, "h").filter(place != F.col("first")).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set("start")).alias("s"))
-    at = lambda k: F.get("s", k)
-    heads = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda k: (k == 0) | (at(k) > at(k - 1) + 2))
-    runs = let(heads, lambda x: F.transform(x, lambda k, j: F.struct(at(k).alias("start"), (at(F.coalesce(F.get(x, j + 1), F.size("s")) - 1) + 2 - at(k)).alias("n"))))
-    none = F.array().cast("array<struct<start:int,n:int>>")
-    out = docs.join(again.select("doc_id", "t", runs.alias("runs")), ["doc_id", "t"], "left")
-    return _without_removed(out.select("doc_id", "text", "rest", F.split("text", "\n").alias("lines"), F.coalesce("runs", none).alias("removed")))
+    again = pairs.join(often, "h").filter(place != F.col("first")).groupBy(*by).agg(F.collect_set("start").alias("p"))
+    spans = written(again.join(found, by, "full_outer"), "line-spans")  # a table whose size Spark knows
+    none = F.array().cast("array<int>")
+    starts = F.concat(F.coalesce("p", none), F.when(F.col("s").isNull(), none).otherwise(F.filter(_starts(F.col("lines")), _inside)))
+    runs = F.transform(F.array_sort(starts), lambda i: F.struct(i.alias("start"), (i + 2).alias("end")))
+    out = docs.join(spans, by, "left").withColumn("lines", F.split("text", "\n")).withColumn("runs", runs)
+    return _without_removed(out.select("doc_id", "text", "rest", "lines", _union("runs").alias("removed")))
 
 
 def _without_removed(out: DataFrame) -> DataFrame:

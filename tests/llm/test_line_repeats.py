@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from factlake.llm import line_dedup
 
 
 def test_runs_of_repeated_lines_go_whole(spark):
@@ -34,3 +35,15 @@ def test_runs_of_repeated_lines_go_whole(spark):
     odd = [(1, "k l\nm n", "x"), (2, "k l\nm n\no p", "x"), (2, "q", "x"), (None, "k l\nm n", "x")]
     kept = corpus_pipeline.lines(spark, spark.createDataFrame(odd, schema), "").collect()
     assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "k l\nm n"), (1, "k l\nm n"), (2, "o p"), (2, "q")]
+
+
+def test_the_stage_searches_chunks_first(spark, monkeypatch):
+    """Repeats come from content-defined chunks, and the exact search has only the pairs of lines that these leave."""
+    left, pairs_of = [], line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, what: left.append((what, pairs_of(df, what))) or left[-1][1])
+    text = "\n".join(f"line {i} of it" for i in range(40))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "a b\n" + text + "\nc d"), (4, "line 1 of it\nline 2 of it")], "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert kept == {1: text, 2: "", 3: "a b\nc d", 4: ""}
+    found = dict(left)
+    assert {r.doc_id for r in found["chunk-spans"].collect()} >= {2, 3} and found["repeated-pairs"].count() < 10
