@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -59,7 +58,8 @@ def prepared(rows: DataFrame) -> DataFrame:
 
 
 class _Records(StatefulProcessor):
-    """Of a key's rows in a batch the last one counts, whatever their number: one is held at a time."""
+    """Of a key's rows in a batch the last one counts, whatever their number: one is held at a time. It takes and gives rows, not frames:
+    a frame for each key costs more than all that is done with it."""
 
     def __init__(self, retention_ms: int) -> None:
         self.retention_ms = retention_ms
@@ -71,19 +71,18 @@ class _Records(StatefulProcessor):
         dates = [row[c] for c in ("published", "material") if row[c] is not None]
         return None if row["stays"] or not dates else max(dates) + self.retention_ms
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        last = None
-        for part in rows:
-            row = part.iloc[int(part["seq"].to_numpy().argmax())]
-            if last is None or row["seq"] > last["seq"]:
-                last = row
-        old = dict(zip(HELD, self.held.get(), strict=True)) if self.held.exists() else None
-        if old is not None and old["content_hash"] == last["content_hash"]:
+    def _held(self) -> dict | None:
+        held = self.held.get()
+        return None if held is None else dict(zip(HELD, held, strict=True))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        last = max(rows, key=lambda r: r.seq)
+        old = self._held()
+        if old is not None and old["content_hash"] == last.content_hash:
             return
         new = {c: last[c] for c in HELD if c != "material"}
-        new |= {"published": None if pd.isna(last["published"]) else int(last["published"]), "stays": bool(last["stays"]), "aliases": [str(a) for a in last["aliases"]]}
         material = old is None or old["signature"] != new["signature"]
-        new["material"] = int(last["at_ms"]) if material else old["material"]
+        new["material"] = last.at_ms if material else old["material"]
         before, after = (self._due(old) if old else None), self._due(new)
         if before != after:
             if before is not None:
@@ -91,17 +90,16 @@ class _Records(StatefulProcessor):
             if after is not None:
                 self.handle.registerTimer(after)
         self.held.update(tuple(new[c] for c in HELD))
-        yield self._moved(key[0], old, new["compared"], new["aliases"], int(last["at_ms"]), new["gone_hash"], False)
+        yield self._moved(key[0], old, new["compared"], new["aliases"], last.at_ms, new["gone_hash"], False)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.held.exists():
-            old = dict(zip(HELD, self.held.get(), strict=True))
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        old = self._held()
+        if old is not None:
             self.held.clear()
             yield self._moved(key[0], old, None, list(old["aliases"]), int(expiredTimerInfo.getExpiryTimeInMs()), old["gone_hash"], True)
 
-    def _moved(self, key: str, old: dict | None, new: str | None, aliases: list[str], at: int, gone: str, expired: bool) -> pd.DataFrame:
-        names = ["record_id", "old", "old_hash", "new", "aliases", "at", "gone_hash", "expired"]
-        return pd.DataFrame([(key, old and old["compared"], old and old["content_hash"], new, aliases, at, gone, expired)], columns=names)
+    def _moved(self, key: str, old: dict | None, new: str | None, aliases: list[str], at: int, gone: str, expired: bool) -> Row:
+        return Row(record_id=key, old=old and old["compared"], old_hash=old and old["content_hash"], new=new, aliases=aliases, at=at, gone_hash=gone, expired=expired)
 
     def close(self) -> None:
         pass
@@ -141,7 +139,7 @@ def record_events(spark: SparkSession, path: str, schema: T.StructType, *, reten
 
     with rocksdb(spark):
         rows = prepared(source(spark, path, schema, files_per_batch).withWatermark("at", late))
-        found = rows.groupBy("record_id").transformWithStateInPandas(_Records(retention_ms), MOVED, "append", "eventtime")
+        found = rows.groupBy("record_id").transformWithState(_Records(retention_ms), MOVED, "append", "eventtime")
         found.writeStream.option("checkpointLocation", f"{where}/progress").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
     if not paths.exists(spark, f"{where}/out"):
         return spark.createDataFrame([], EVENTS)

@@ -140,3 +140,31 @@ def test_exploited_records_protect_theirs(spark):
     found, _ = run(spark, batches)
     assert not any(x[1] == "retention_removed" for x in found[2])
     assert sorted(set(found[3]) - set(found[2])) == [("a", "affected_corrected", "2026-01-20"), ("d", "retention_removed", "2026-01-11"), ("k", "kev_removed", "2026-01-20")]
+
+
+def test_a_key_is_handled_by_rows(spark):
+    """The keyed operator takes rows and gives rows: no frame is made for a key, and state is asked for once."""
+
+    class Held:
+        value, asked = None, 0
+
+        def get(self):
+            self.asked += 1
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        timers = set()
+        registerTimer, deleteTimer = timers.add, timers.discard  # noqa: N815
+
+    table = spark.createDataFrame([("a", n, DAYS[n], line("a", n, aliases=["X"])) for n in (0, 2, 1)], "record_id string, seq long, at timestamp, line string")
+    rows = records.prepared(table).collect()
+    operator = records._Records(1000)
+    operator.held, operator.handle = Held(), Handle()
+    last = max(rows, key=lambda r: r.seq)
+    (moved,) = operator.handleInputRows(("a",), iter(rows), None)
+    assert (moved.record_id, moved.old, moved.new, moved.aliases, moved.at) == ("a", None, last.compared, ["X"], last.at_ms)
+    assert operator.held.asked == 1 and Handle.timers == {last.at_ms + 1000}
+    assert list(operator.handleInputRows(("a",), iter([last]), None)) == []
