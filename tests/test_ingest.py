@@ -164,3 +164,9 @@ def test_each_step_is_computed_once(spark):
     assert checks.count("try_parse_json(") == 1
     judged = str(I._judged(RECORD, I.MOST_BYTES, NOW))
     assert judged.count("try_parse_json(") == 1 and judged.count("sha2(") == 1
+
+
+def test_a_value_is_typed_once(spark):
+    """However many keywords look at a value, its type is named once, at each depth."""
+    schema = {"type": "object", "required": ["a", "b", "c"], "maxProperties": 3, "properties": {"a": {"type": ["string", "null"], "minLength": 2, "maxLength": 3, "pattern": "^x"}}}
+    assert str(violations(F.col("t"), schema)).count("schema_of_variant(") == 2
