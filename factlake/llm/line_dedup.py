@@ -155,11 +155,10 @@ def _inside(start: Column) -> Column:
 
 
 def _pairs(text: Column) -> Column:
-    """Array of (start, h) of each two consecutive lines of a text of which one has a word, without those inside ``s``."""
+    """Array of (start, h) of each two consecutive lines of a text of which one has a word."""
 
     def of(lines: Column) -> Column:
-        starts = F.filter(_starts(lines), lambda i: ~_inside(i))
-        return F.transform(starts, lambda i: F.struct(i.alias("start"), F.unhex(F.md5(F.array_join(F.slice(lines, i + 1, 2), "\n").cast("binary"))).alias("h")))
+        return F.transform(_starts(lines), lambda i: F.struct(i.alias("start"), F.unhex(F.md5(F.array_join(F.slice(lines, i + 1, 2), "\n").cast("binary"))).alias("h")))
 
     return let(F.split(text, "\n"), of)
 
@@ -168,10 +167,12 @@ def repeats_removed(df: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """Like ``line_dedup``, and also what its cuts leave: any run of two lines or more that an earlier place has too goes whole,
     wherever it begins. Chunks are searched first. What lies within one that was found has the same lines at an earlier place, so it
     is no first place of anything; the exact search then takes the other pairs of consecutive lines alone. Places are judged on the
-    input; pairs are compared by 128 bits."""
+    input; pairs are compared by 128 bits. Pairs are made where the texts are read and meet what was found without their texts,
+    which are dealt out twice in all: for the chunks and for what is left of them."""
     docs, by = documents(df), ["doc_id", "t"]
     found = written(_found(docs, divisor), "chunk-spans")
-    pairs = docs.filter("doc_id is not null and text is not null").join(found, by, "left").select(*by, F.inline(_pairs(F.col("text"))))
+    pairs = docs.filter("doc_id is not null and text is not null").select(*by, _pairs(F.col("text")).alias("pairs")).join(found, by, "left")
+    pairs = written(pairs.select(*by, F.inline(F.filter("pairs", lambda p: ~_inside(p["start"])))), "line-pairs")  # read twice, made once
     place = F.struct("doc_id", "t", "start")
     often = written(pairs.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "first"), "repeated-pairs")
     again = pairs.join(often, "h").filter(place != F.col("first")).groupBy(*by).agg(F.collect_set("start").alias("p"))

@@ -1,6 +1,7 @@
 """The pipeline's line stage against brute force."""
 
 import random
+import re
 
 import corpus_pipeline
 from factlake.llm import line_dedup
@@ -47,3 +48,24 @@ def test_the_stage_searches_chunks_first(spark, monkeypatch):
     assert kept == {1: text, 2: "", 3: "a b\nc d", 4: ""}
     found = dict(left)
     assert {r.doc_id for r in found["chunk-spans"].collect()} >= {2, 3} and found["repeated-pairs"].count() < 10
+
+
+def test_texts_are_not_dealt_out_for_pairs(spark, monkeypatch):
+    """Between the search for chunks and the last join no exchange carries a text, nor are pairs made anew from texts."""
+    plans, write = {}, line_dedup.written
+
+    def noted(df, what):
+        plans[what] = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return write(df, what)
+
+    monkeypatch.setattr(line_dedup, "written", noted)
+    docs = spark.createDataFrame([(i, "a b\nc d\ne f\ng h\n" + "x\n" * i) for i in range(4)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        corpus_pipeline.lines(spark, docs, "")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for what in ("line-pairs", "repeated-pairs", "line-spans"):
+        carried = re.findall(r"\) Exchange\s+Input \[\d+\]: \[(.*?)\]", plans[what])
+        assert carried and not [c for c in carried if "text#" in c], what
+    assert "text#" not in plans["repeated-pairs"] + plans["line-spans"]
