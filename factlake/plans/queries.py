@@ -214,8 +214,10 @@ def physical_roundtrip(spark, sf_dir):
         "source_modified_at": none, "first_seen_at": day, "content_hash": F.sha2("text", 256), "title": F.col("text"), "aliases": empty, "affected": empty, "references": empty, "provenance": empty,
     }
     line = F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]), {"ignoreNullFields": "false"})
-    lines = physical.physical(docs.select(fields["record_id"].alias("record_id"), H.canonical_json(line).alias("line")))
-    back = physical.logical(lines.select("record_id", "line"))
+    lines = physical.physical(docs.select(fields["record_id"].alias("record_id"), H.canonical_json(line).alias("line"))).select("record_id", "line")
+    root = streams.folder(spark, "physical")  # the lines are kept, as a reader of them looks at them twice
+    lines.write.parquet(f"{root}/lines")
+    back = physical.logical(spark.read.schema(lines.schema).parquet(f"{root}/lines"))
     text = F.get_json_object("line", "$.title")
     return back.select(F.get_json_object("line", "$.native_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("sha256"), F.octet_length(text).cast("long").alias("bytes"))
 

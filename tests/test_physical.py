@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factlake.operators import physical as P
+from factlake.plans import queries as core
 
 DATA = os.path.join(os.path.dirname(__file__), "data")
 text = lambda x: json.dumps(x, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
@@ -181,3 +182,17 @@ def test_places_keep_apart(spark):
 
 def test_no_rows(spark):
     assert split(spark) == [] and back(spark, []) == []
+
+
+def test_the_round_trip_makes_its_lines_once(spark):
+    back = core.QUERIES["physical_roundtrip"](spark, "/root/testdata/sf0.001")
+    assert back.inputFiles() and not [f for f in back.inputFiles() if "documents.parquet" in f]
+
+
+def test_what_spares_parsing_leaves_no_line_out(spark):
+    """Lines without a kind are records; escaped words count as written out."""
+    lines = [("a", '{"record_id":"a"}'), ("b", '{"record_id":"b","title":"\\u0001 no continuation"}')]
+    read = lambda rows: sorted((r.record_id, r.line) for r in P.logical(spark.createDataFrame(rows, "record_id string, line string")).collect())
+    assert read(lines) == lines
+    with pytest.raises(Exception, match="a part without its record"):
+        read([("c/part/000", '{"kind":"continu\\u0061tion","parent_record_id":"c","part_index":0}')])
