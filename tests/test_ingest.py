@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factlake.functions.schemas import EVENT, RECORD, violations, with_fields
 from factlake.operators import ingest as I
+from factlake.plans import ingest_queries
 
 NOW, LATER = "2026-01-02T00:00:00Z", "2026-01-03T00:00:00Z"
 ROW = {
@@ -170,3 +171,11 @@ def test_a_value_is_typed_once(spark):
     """However many keywords look at a value, its type is named once, at each depth."""
     schema = {"type": "object", "required": ["a", "b", "c"], "maxProperties": 3, "properties": {"a": {"type": ["string", "null"], "minLength": 2, "maxLength": 3, "pattern": "^x"}}}
     assert str(violations(F.col("t"), schema)).count("schema_of_variant(") == 2
+
+
+def test_reasons_are_found_once(spark):
+    """No filter on the reasons makes a document be parsed and judged twice."""
+    found = ingest_queries.schema_quarantine(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan
+    assert {"doc_id", "reasons"} == set(found.columns) and found.filter("reasons is null or reasons = ''").isEmpty()
