@@ -56,6 +56,17 @@ def deletes(prior: DataFrame, current: DataFrame, key: str) -> DataFrame:
     return prior.select(key).join(current.select(key), key, "left_anti")
 
 
+def differences(prior: DataFrame, current: DataFrame, key: str, line: str) -> DataFrame:
+    """What ``upserts`` and ``deletes`` find, in one join: rows of ``current`` that are new or whose canonical line differs, and keys of
+    ``prior`` (each there once) that it lacks, their other columns null; op is upsert or delete."""
+    old = prior.select(F.col(key).alias("_k"), F.sha2(F.col(line), 256).alias("_was"), F.lit(True).alias("_old"))
+    new = current.withColumn("_new", F.lit(True))
+    both = new.join(old, F.col(key) == F.col("_k"), "full_outer")
+    moved = both.filter(F.col("_new").isNull() | F.col("_old").isNull() | ~F.coalesce(F.sha2(F.col(line), 256) == F.col("_was"), F.lit(False)))
+    rest = [F.when(F.col("_new").isNull(), F.col("_k")).otherwise(F.col(key)).alias(key) if c == key else F.col(c) for c in current.columns]
+    return moved.select(*rest, F.when(F.col("_new").isNull(), "delete").otherwise("upsert").alias("op"))
+
+
 def append_events(prior: DataFrame, new: DataFrame, key: str = "event_id") -> DataFrame:
     """The log with the new events, one of each id: prior ones win, then the least row, so that the result is the same for any
     partitioning."""

@@ -6,17 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Groups that a plan sends to all tasks, at most.
+MOST_SENT = 200_000
+
+
 def shard_plan(rows: DataFrame, part: list[str], key: str, size: str, limit: int, deepest: int = 10, first: int = 2) -> DataFrame:
     """``rows`` with prefix: the shortest hex prefix of the key's digest, from ``first`` digits on, at which its group in the
     part fits the limit or is one row.
 
-    One pass: all depths are counted together, with map-side combining; the counts of each group are then looked up by its
-    deepest prefix. ``deepest`` bounds the rows that the count makes of each row."""
+    Groups of the first three depths are sums of those at the third, which are counted in one pass with map-side combining; only
+    rows of groups that don't fit there are counted at more digits, up to ``deepest``. How many these are goes to the driver, and
+    says what is small enough for all tasks. Rows are read three times: who makes them at some cost keeps them first."""
     hashed = rows.withColumn("_h", F.sha2(F.col(key).cast("string"), 256))
-    depths = F.sequence(F.lit(first), F.lit(deepest))
-    each = hashed.select(*part, F.col(size).alias("_s"), F.explode(F.transform(depths, lambda d: F.substring(F.col("_h"), 1, d))).alias("_p"))
-    groups = each.groupBy(*part, "_p").agg(F.sum("_s").alias("_b"), F.count(F.lit(1)).alias("_n"))
-    fits = groups.filter((F.col("_b") <= limit) | (F.col("_n") == 1) | (F.length("_p") == deepest))
+    middle = min(first + 2, deepest)
+    counted = hashed.groupBy(*part, F.substring("_h", 1, middle).alias("_m")).agg(F.sum(size).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    fit = lambda depth: F.coalesce((F.col("_b") <= limit) | (F.col("_n") == 1) | (depth == deepest), F.lit(False))
+    large = counted.filter(~fit(F.lit(middle)))
+    found = counted.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.when(~fit(F.lit(middle)), F.col("_n"))), F.lit(0)).alias("rest")).first()
+    if not found.groups:
+        return rows.withColumn("prefix", F.lit(None).cast("string")).filter(F.lit(False))
+    sent = F.broadcast if found.groups + found.rest <= MOST_SENT else lambda x: x
+    groups = _at_depths(counted, part, "_m", "_b", "_n", first, middle)
+    if found.rest:
+        named = large.select(*part, "_m")
+        own = hashed.withColumn("_m", F.substring("_h", 1, middle))
+        own = own.join(sent(named), _same(own, named, [*part, "_m"]), "left_semi").select(*part, "_h", F.col(size).alias("_b"), F.lit(1).alias("_n"))
+        groups = groups.unionByName(_at_depths(own, part, "_h", "_b", "_n", middle + 1, deepest))
+    fits = groups.filter(fit(F.length("_p")))
     # a group that fits is a shard unless the group one digit up fits too
     up = fits.select(*part, F.col("_p").alias("_up"))
     below = fits.withColumn("_up", F.substring("_p", F.lit(1), F.length("_p") - 1))
@@ -24,9 +40,16 @@ def shard_plan(rows: DataFrame, part: list[str], key: str, size: str, limit: int
     # a row is looked up by equality, at the few depths that the shards of its first digits have
     depths_of = shards.groupBy(*part, F.substring("prefix", 1, first).alias("_c")).agg(F.collect_set(F.length("prefix")).alias("_depths"))
     keyed = hashed.withColumn("_c", F.substring("_h", 1, first))
-    tried = keyed.join(depths_of, _same(keyed, depths_of, [*part, "_c"])).select(*[keyed[c] for c in hashed.columns], F.explode("_depths").alias("_d"))
+    tried = keyed.join(sent(depths_of), _same(keyed, depths_of, [*part, "_c"])).select(*[keyed[c] for c in hashed.columns], F.explode("_depths").alias("_d"))
     tried = tried.withColumn("prefix", F.substring(F.col("_h"), F.lit(1), F.col("_d")))
-    return tried.join(shards, _same(tried, shards, [*part, "prefix"])).select(*[tried[c] for c in rows.columns], tried["prefix"])
+    return tried.join(sent(shards), _same(tried, shards, [*part, "prefix"])).select(*[tried[c] for c in rows.columns], tried["prefix"])
+
+
+def _at_depths(rows: DataFrame, part: list[str], digits: str, size: str, n: str, first: int, last: int) -> DataFrame:
+    """Bytes (_b) and rows (_n) of the groups (_p) at some depths."""
+    depths = F.sequence(F.lit(first), F.lit(last))
+    each = rows.select(*part, F.col(size).alias("_s"), F.col(n).alias("_k"), F.explode(F.transform(depths, lambda d: F.substring(F.col(digits), 1, d))).alias("_p"))
+    return each.groupBy(*part, "_p").agg(F.sum("_s").alias("_b"), F.sum("_k").alias("_n"))
 
 
 def _same(a: DataFrame, b: DataFrame, columns: list[str]):

@@ -252,6 +252,46 @@ def test_shard_plan_joins_by_equality(spark):
     assert "StartsWith" not in plan and "NestedLoop" not in plan
 
 
+def test_shard_plan_of_few_and_of_many_digits(spark):
+    """Groups that fit at two to four digits, and groups that need more, in one plan; whether these are sent to all tasks or not."""
+    import hashlib
+
+    rows = [(f"k{i}", None if i % 2 else "p", 1 if i % 7 else 1000) for i in range(6000)]
+    frame = spark.createDataFrame(rows, "k string, part string, size int")
+
+    def split(members, depth):
+        groups = {}
+        for k, p, s in members:
+            groups.setdefault((p, hashlib.sha256(k.encode()).hexdigest()[:depth]), []).append((k, p, s))
+        for (_, prefix), own in groups.items():
+            if len(own) == 1 or sum(x[2] for x in own) <= 10:
+                yield from ((x[0], prefix) for x in own)
+            else:
+                yield from split(own, depth + 1)
+
+    expected = dict(split(rows, 2))
+    assert {len(p) for p in expected.values()} >= {2, 3, 4, 5}
+    sent = shards.MOST_SENT
+    try:
+        for shards.MOST_SENT in (sent, 0):
+            planned = shards.shard_plan(frame, ["part"], "k", "size", 10)
+            assert {r.k: r.prefix for r in planned.collect()} == expected
+    finally:
+        shards.MOST_SENT = sent
+    assert shards.shard_plan(frame.limit(0), ["part"], "k", "size", 10).collect() == []
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_differences_are_upserts_and_deletes(spark):
+    prior = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), (None, "1"), ("n", None)], "k string, line string")
+    cur = spark.createDataFrame([("x", "a", "1"), ("x", "b", "2"), ("y", "b", "1"), ("y", "d", "1"), ("y", "d", "2"), ("z", None, "1"), ("z", "n", None)], "source string, k string, line string")
+    got = sorted(map(str, changes.differences(prior, cur, "k", "line").collect()))
+    ups = changes.upserts(prior, cur, "k", "line").withColumn("op", F.lit("upsert"))
+    gone = changes.deletes(prior, cur, "k").select(F.lit(None).cast("string").alias("source"), "k", F.lit(None).cast("string").alias("line"), F.lit("delete").alias("op"))
+    assert got == sorted(map(str, ups.union(gone).collect())) and len(got) == 7
+
+
 def test_snapshot_digest_of_more_digits(spark):
     import hashlib
 

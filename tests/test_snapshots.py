@@ -234,3 +234,37 @@ def test_a_manifest_of_many_shards(spark):
     assert (head.problems, head.runs, [tuple(f) for f in head.folders]) == ([], [], [("records", "checkpoints/c/records")]) and head.size > S.SMALL_MANIFEST
     found = S.described(S.manifest_at(spark, root)).agg(F.count_distinct("path").alias("n"), F.max("shard").alias("last"), F.max("delta_seq").alias("d")).first()
     assert tuple(found) == (100_000, 99_999, 0)
+
+
+def test_a_version_makes_its_lines_once(spark):
+    """However often shards are counted, planned and written, and whether as a checkpoint or a delta."""
+    root, made = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp"), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def line(k, v):
+        made.add(1)
+        return json.dumps({"record_id": k, "source_id": "cve", "v": v})
+
+    for day in (1, 2):
+        rows = spark.range(300).select(F.concat(F.lit("cve/"), F.col("id").cast("string")).alias("record_id"), F.lit("cve").alias("source_id"), F.when(F.col("id") % 3 == 0, day).otherwise(0).alias("v"))
+        rows = rows.filter(f"record_id <> 'cve/{day}'").select("record_id", "source_id", line("record_id", "v").alias("line"))
+        kept = S.write_version(spark, root, rows, events(spark, []), now=f"2026-09-1{day}T00:00:00Z", run_id=f"r{day}", event_start_at="2026-09-05T00:00:00Z")
+        assert made.value == 299 * day
+    assert state(S.read_version(spark, root)[0]) == {f"cve/{i}": 2 if i % 3 == 0 else 0 for i in range(300) if i != 2}
+    assert sum(s["count"] for s in kept["shards"] if s["operation"] == "upsert") == 101 and sum(s["count"] for s in kept["shards"] if s["operation"] == "delete") == 1
+
+
+def test_many_small_shards_are_read_in_few_tasks(spark):
+    root, n = tempfile.mkdtemp(prefix="spark-", dir="/tmp"), 900
+    os.makedirs(f"{root}/c")
+    for i in range(n):
+        with open(f"{root}/c/{i}.jsonl", "w") as f:
+            f.write('{"v":%d}\n' % i + '\n{"v":"\\u2028"}\r\n{"v":0}' * (i == 7))
+    open(f"{root}/c/empty.jsonl", "w").close()
+    placed = spark.createDataFrame([(f"c/{i}.jsonl", i, 0, "snapshot") for i in range(n)] + [("c/empty.jsonl", n, 0, "snapshot")], "path string, shard int, delta_seq int, operation string")
+    log = S._log(spark, root, ["c"], F.broadcast(placed))
+    assert log.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    got = sorted((r.shard, r.line) for r in log.collect())
+    read = spark.read.text(f"{root}/c").collect()  # the same lines as Spark's reader of lines has
+    assert sorted(line for _, line in got) == sorted(r.value for r in read) and len(got) == n + 3
+    assert [line for shard, line in got if shard == 7] == ["", '{"v":"\\u2028"}', '{"v":0}', '{"v":7}']
